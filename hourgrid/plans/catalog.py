@@ -43,12 +43,25 @@ class Tables:
     for a batch of many tables and ``release`` frees it again.
     """
 
-    raw: DataFrame
-    zones: DataFrame
-    area_features: DataFrame
-    zone_features: DataFrame
+    sources: dict[str, Callable[[], DataFrame]]  # raw, zones, area_features, zone_features
     params: Params = Params()
 
+    @cached_property
+    def raw(self) -> DataFrame:
+        return self.sources["raw"]()
+
+    @cached_property
+    def zones(self) -> DataFrame:
+        return self.sources["zones"]()
+
+    @cached_property
+    def area_features(self) -> DataFrame:
+        return self.sources["area_features"]()
+
+    @cached_property
+    def zone_features(self) -> DataFrame:
+        return self.sources["zone_features"]()
+
     @cached_property
     def cleaned(self) -> DataFrame:
         return clean.clean_trips(self.raw, self.zones, *self.params.window)
@@ -112,7 +125,7 @@ class Tables:
         return builders()[name](self)
 
     def with_params(self, **changes) -> Tables:
-        return Tables(self.raw, self.zones, self.area_features, self.zone_features, replace(self.params, **changes))
+        return Tables(self.sources, replace(self.params, **changes))
 
 
 def builders() -> dict[str, Callable[[Tables], DataFrame]]:

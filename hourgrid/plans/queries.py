@@ -31,11 +31,13 @@ FIXTURE_PARAMS = Params(
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(
-        raw=FX.raw_trips(spark, sf_dir),
-        zones=FX.zones(spark, sf_dir),
-        area_features=SRC.features_of(FX.area_documents(FX.customer_areas(spark, sf_dir))),
-        zone_features=SRC.features_of(FX.area_documents(FX.zone_areas(spark, sf_dir))),
-        params=FIXTURE_PARAMS,
+        {
+            "raw": lambda: FX.raw_trips(spark, sf_dir),
+            "zones": lambda: FX.zones(spark, sf_dir),
+            "area_features": lambda: SRC.features_of(FX.area_documents(FX.customer_areas(spark, sf_dir))),
+            "zone_features": lambda: SRC.features_of(FX.area_documents(FX.zone_areas(spark, sf_dir))),
+        },
+        FIXTURE_PARAMS,
     )
 
 
