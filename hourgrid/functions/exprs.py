@@ -39,15 +39,19 @@ def bucket(value: str, steps) -> Column:
 
 
 def date_parts(source: str) -> dict[str, Column]:
-    """Calendar columns of a date or timestamp; Sunday is day 1."""
+    """Calendar columns of a date or zone-less timestamp; Sunday is day 1.
+
+    Month text and day name avoid ``date_format``, which would convert every row to a zoned
+    timestamp first (the text form starts with yyyy-MM for the years 0 to 9999).
+    """
     d = F.col(source)
     return {
         "year": F.year(d),
         "month": F.month(d),
         "day": F.dayofmonth(d),
-        "year_month": F.date_format(d, "yyyy-MM"),
+        "year_month": F.substring(d.cast("string"), 1, 7),
         "day_of_week": F.dayofweek(d),
-        "weekday_name": F.date_format(d, "E"),
+        "weekday_name": F.dayname(d),
         "is_weekend": flag(F.dayofweek(d).isin(1, 7)),
     }
 

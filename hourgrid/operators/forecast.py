@@ -142,7 +142,9 @@ def estimators(forest: dict | None = None, boosting: dict | None = None) -> dict
     return {
         "Linear Regression": LinearRegression(**io),
         "Random Forest": RandomForestRegressor(
-            **io, **{"featureSubsetStrategy": "all", "seed": SEED, **FOREST, **(forest or {})}
+            **io,
+            # memory for node statistics: fewer passes over the data per tree level
+            **{"featureSubsetStrategy": "all", "seed": SEED, "maxMemoryInMB": 1024, **FOREST, **(forest or {})},
         ),
         "Gradient Boosting": GBTRegressor(**io, **{"seed": SEED, **BOOSTING, **(boosting or {})}),
     }

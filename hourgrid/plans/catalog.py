@@ -9,11 +9,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourgrid import schema as S
 from hourgrid.functions import exprs as X
 from hourgrid.operators import (
     business, clean, enrich, features, flows, forecast, geo, profiles, routes, temporal,
 )
 
+from hourgrid.sources import sinks
+
 
 @dataclass(frozen=True)
 class Params:
@@ -39,8 +42,8 @@ class Tables:
     """Stage tables as attributes, analytic tables by name through ``table``.
 
     Nothing runs until a table is used. Tables that share an ancestor share its DataFrame,
-    so a query that needs it twice lets Spark reuse the exchange; ``keep`` persists a stage
-    for a batch of many tables and ``release`` frees it again.
+    so a query that needs it twice lets Spark reuse the exchange; ``staged`` writes the
+    common stages once for a run over many tables.
     """
 
     sources: dict[str, Callable[[], DataFrame]]  # raw, zones, area_features, zone_features
@@ -111,14 +114,28 @@ class Tables:
         """Evaluation rows predicted by the rolling mean; replace it to score other models."""
         return self.evaluation.withColumn("predicted_trip_count", F.col("rolling_24h_avg_trip_count"))
 
-    def keep(self, *stages: str) -> Tables:
-        for stage in stages:
-            getattr(self, stage).persist()
-        return self
-
-    def release(self, *stages: str) -> None:
-        for stage in stages:
-            getattr(self, stage).unpersist()
+    def staged(self, folder: str) -> Tables:
+        """Write enriched trips, cube and routes once; return tables that read them.
+
+        For runs over many tables: the joins and the whole-row distinct behind the trips
+        happen once, every table then scans only its own columns, and a lost executor costs
+        a re-read instead of a recomputation. Trips and cube are partitioned by month.
+        """
+        spark = self.zones.sparkSession
+        staged = Tables(self.sources, self.params)
+        steps = {
+            "trips": (lambda: self.trips.hint("rebalance", "year_month"), ["year_month"], S.TRIP_ORDER),
+            "cube": (lambda: features.zone_hour_features(staged.trips).hint("rebalance", "year_month"), ["year_month"], S.CUBE_ORDER),
+            "routes": (lambda: features.top_routes(staged.trips), [], S.ROUTES_ORDER),
+        }
+        for name, (build, by, order) in steps.items():
+            path = f"{folder.rstrip('/')}/{name}"
+            table = build()
+            sinks.write_table_parquet(table, path, by)
+            back = spark.read.schema(table.schema).parquet(path)
+            # fills the cached stage, so later stages and tables start from the files
+            staged.__dict__[name] = back.transform(S.lead_with, order)
+        return staged
 
     def table(self, name: str) -> DataFrame:
         """An analytic table by name."""

@@ -24,6 +24,9 @@ def local_session(cores: str = "*", app: str = "hourgrid") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", "2m")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # wide rows give generated methods beyond 8000 bytecodes, which the JVM would
+        # otherwise interpret for ever; executors of a cluster profit from the same option
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .getOrCreate()
     )
 

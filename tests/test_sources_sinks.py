@@ -128,3 +128,18 @@ def test_primary_years_fall_back_to_all(spark):
     assert (empty.total_trips, empty.avg_trips_per_day) == (0, 0.0)
     months = spark.createDataFrame([(2019, 1), (2021, 1), (2021, 2)], "year int, month int")
     assert values(views.scoped_monthly(months, days), "year", "month") == [(2021, 1)]
+
+
+def test_date_window_reaches_the_scan(spark, tmp_path):
+    from hourgrid.operators import clean
+
+    trips(spark, trip()).write.parquet(str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        cleaned = clean.clean_trips(spark.read.parquet(str(tmp_path / "raw")), zones(spark))
+        plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "tpep_pickup_datetime" in line and "FileScan" in line)
+    assert "GreaterThanOrEqual(fare_amount,0.0)" in scan
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,2021-01-01T00:00)" in scan
