@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hourgrid import schema as S
 from hourgrid.functions import exprs as X
 from hourgrid.operators.ordering import exact_quantiles
+from hourgrid.session import settle
 
 # --- fixed values: frame layout, features and model settings ---------------------------------
 FRAME = [
@@ -156,7 +157,8 @@ def train_models(train: DataFrame, models: dict | None = None) -> tuple[dict[str
     fit = tagged.where(F.col("part") == "fit")
     validation = tagged.where(F.col("part") == "validation")
     prepared = Pipeline(stages=feature_stages()).fit(fit)
-    ready = prepared.transform(fit).select("features", TARGET).persist()
+    # settled, so that blocks lost with an executor are read again, not predicted from raw
+    ready = settle(prepared.transform(fit).select("features", TARGET)).persist()
     try:
         fitted = {
             name: PipelineModel([*prepared.stages, estimator.fit(ready)])
@@ -293,8 +295,12 @@ def weekday_hour_error_heatmap(predictions: DataFrame) -> DataFrame:
 
 
 def error_distribution(predictions: DataFrame) -> DataFrame:
-    """Errors between the exact 1st and 99th percentile, ends included."""
-    errors = with_errors(predictions).select("prediction_error")
+    """Errors between the exact 1st and 99th percentile, ends included.
+
+    The error column is settled first: the quantiles and the filter then both read it
+    instead of computing the predictions twice.
+    """
+    errors = settle(with_errors(predictions).select("prediction_error"))
     edges = exact_quantiles(errors, "prediction_error", {"low": TAIL[0], "high": TAIL[1]})
     return errors.where(
         (F.col("prediction_error") >= edges.select("low").scalar())

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid import schema as S
 from hourgrid.functions import exprs as X
 from hourgrid.functions import measures as M
-from hourgrid.operators.ordering import desc
+from hourgrid.operators.ordering import dense_rank_all, desc
 from hourgrid.operators.rollup import rollup
 
 
@@ -65,14 +65,12 @@ def zone_profile_summary(cube: DataFrame, trips: DataFrame) -> DataFrame:
 def route_profile_summary(trips: DataFrame, top_n: int = 1000) -> DataFrame:
     """Profiles of the busiest routes (dense rank at most ``top_n``; ties stay).
 
-    The rank filter becomes a group limit in every task, so the ranking itself only sees
-    the leading rows of each task, not the route table.
+    Ranked over key ranges, so even a rank shared by most routes is spread over tasks.
     """
     measured = X.add_trip_metrics(trips).dropna(subset=["route_key"])
-    window = Window.partitionBy().orderBy(*desc("trip_count", "total_revenue"))
-    leading = (
-        rollup(measured, S.ROUTE, M.route_profile())
-        .withColumn("route_rank", F.dense_rank().over(window))
-        .where(F.col("route_rank") <= top_n)
+    ranked = dense_rank_all(
+        rollup(measured, S.ROUTE, M.route_profile()), ["trip_count", "total_revenue"],
+        "route_rank", tie=("route_key",),
     )
+    leading = ranked.where(F.col("route_rank") <= top_n)
     return leading.join(route_peak_hour(measured), "route_key", "left").orderBy("route_rank")

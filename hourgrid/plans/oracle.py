@@ -399,7 +399,7 @@ _ZONE_PROFILE_COLS = [*PU, *_list(
     "avg_revenue_per_trip avg_fare_amount avg_trip_distance avg_trip_duration_min avg_passenger_count "
     "credit_card_share cash_share avg_trips_per_active_day peak_hour peak_hour_trip_count "
     "top_dropoff_location_id top_dropoff_zone top_dropoff_borough top_dropoff_trip_count")]
-_ROUTE_PROFILE_COLS = ["route_rank:INTEGER", *ROUTE, *_list(
+_ROUTE_PROFILE_COLS = ["route_rank", *ROUTE, *_list(
     "trip_count total_revenue total_fare_amount total_trip_distance total_trip_duration_min total_tip_amount "
     "total_tip_share_of_total total_speed_mph total_passenger_count credit_card_trip_count cash_trip_count "
     "first_seen_date last_seen_date active_days avg_revenue_per_trip avg_fare_amount avg_trip_distance "

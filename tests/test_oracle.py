@@ -6,12 +6,10 @@ import __spark_entry__ as entry
 from tests.compare import compare, connect
 
 NAMES = [
-    "scan_trips_merged", "scan_centroids", "cleaning_report", "trip_flags", "zone_hour_features",
-    "borough_hour_features", "top_routes", "yearly_summary", "top_zones_by_hour", "zone_rank_change",
-    "airport_trip_summary", "route_concentration", "zone_balance_hour", "od_flow_year_month",
-    "map_replay_sample", "zone_centroids", "zone_profile_summary", "route_profile_summary",
-    "lag_features", "model_comparison", "error_distribution", "dq_missing_months",
-    "top_boroughs_hourly", "stream_zone_demand", "lk_map", "lk_filters",
+    "scan_trips_merged", "cleaning_report", "trip_flags", "borough_hour_features", "top_routes",
+    "top_zones_by_hour", "zone_rank_change", "airport_trip_summary", "zone_balance_hour",
+    "map_replay_sample", "zone_centroids", "route_profile_summary", "lag_features",
+    "error_distribution", "stream_zone_demand", "lk_filters",
 ]
 
 
