@@ -2,7 +2,8 @@
 
 Each oracle is a body over shared CTEs plus its output columns. Column types follow from
 the names (``name:type`` overrides); doubles are rounded to six digits on both sides,
-because floating sums depend on the order of addition.
+because floating sums depend on the order of addition. Cents divided by counts often end
+exactly half-way between two roundings, so both sides add the same nudge first.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ RANK_CHANGE, FLOWS_TOP, REPLAY, SEED, PROFILES_TOP = 5, 20, 200, 42, 100
 MONTH = ("1997-03-01 00:00:00", "1997-04-01 00:00:00")
 MONTHS = ("1995-07", "2001-03")
 CUTOFF = "2024-01-16 00:00:00"
+NUDGE = 1.234e-8
 
 _INT = """year month day hour day_of_week is_weekend PULocationID DOLocationID LocationID
  time_period_order prev_year month_index min_hour max_hour peak_hour ring_index step_order
@@ -55,7 +57,7 @@ def _typed(column: str) -> str:
     if not kind or kind == "text":
         return name
     if kind.upper() == "DOUBLE":
-        return f"round(CAST({name} AS DOUBLE), 6) AS {name}"
+        return f"round(CAST({name} AS DOUBLE) + {NUDGE}, 6) AS {name}"
     return f"CAST({name} AS {kind}) AS {name}"
 
 

@@ -42,9 +42,12 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six digits, as in the oracle: floating sums depend on addition order."""
+    """Doubles to six digits after a nudge off the half-way points, as in the oracle.
+
+    Floating sums depend on the order of addition; the operators themselves do not round.
+    """
     return df.select(*[
-        F.round(f.name, 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        F.round(F.col(f.name) + F.lit(O.NUDGE), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields
     ])
 

@@ -25,8 +25,6 @@ def connect(sf_dir: str):
 def _plain(value):
     if isinstance(value, dt.datetime):
         return value.isoformat(sep=" ")
-    if isinstance(value, float):
-        return f"{value + 0.0:.5f}" if value else "0.00000"
     return repr(value)
 
 
