@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import quality
+from hourgrid.llm import chat, mixing, quality
 from hourgrid.llm.frames import query
 
 QUERIES = [
+    mixing.op3_mix_sources,
+    chat.op5_chat_format,
     quality.op10_quality_rules,
 ]
 
@@ -15,4 +17,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mix_sources": mixing.ORACLE}

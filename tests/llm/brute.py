@@ -26,3 +26,40 @@ def quality(text):
         "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(hit), "base_failed": failed,
         "longest_repeat": longest, "kept": not failed and 100 * len(hit) <= 25 * n and longest <= 200,
     }
+
+
+def chat(rows):
+    """(conv_id, turn, role, text) rows to the digests of the chat contract; texts without control strings."""
+    import hashlib
+    from itertools import groupby
+
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    order = lambda r: (*key(r), r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    out = {}
+    for _, group in groupby(sorted(rows, key=order), key=key):
+        turns = [(r[0], r[2] or "", r[3] or "") for r in group]
+        loss = "".join(t for _, r, t in turns if r == "assistant")
+        esc = lambda s: s.replace("\\", "\\\\").replace("<|", "<\\|")
+        chars = sum(len(f"<|im_start|>{esc(r).replace(chr(10), chr(92) + chr(10))}\n{esc(t)}<|im_end|>\n") for _, r, t in turns)
+        out[turns[0][0]] = (
+            len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in turns).encode()).hexdigest(),
+            len(loss), hashlib.sha256(loss.encode()).hexdigest(), chars)
+    return out
+
+
+def mix(rows, weights=(5, 2, 1), most=3.0):
+    """(doc_id, source, size) rows to {source: target} by repeated resharing."""
+    sizes = {}
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, cut = sum(sizes.values()), {}
+    while True:
+        free = [s for s in names if s not in cut]
+        left = total - sum(cut.values())
+        share = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        above = [s for s in free if share[s] > most * sizes[s]]
+        if not above:
+            return cut | share
+        cut |= {s: most * sizes[s] for s in above}
