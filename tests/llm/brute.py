@@ -63,3 +63,22 @@ def mix(rows, weights=(5, 2, 1), most=3.0):
         if not above:
             return cut | share
         cut |= {s: most * sizes[s] for s in above}
+
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def contamination(text, items, window=10):
+    """n_words, n_hit, sorted item ids."""
+    words = ALNUM.findall((text or "").translate(LOWER))
+    hit, found = set(), set()
+    for item_id, item in items:
+        other = ALNUM.findall((item or "").translate(LOWER))
+        n = min(window, len(other))
+        for i in range(len(other) - n + 1 if n else 0):
+            for j in range(len(words) - n + 1):
+                if words[j : j + n] == other[i : i + n]:
+                    hit.update(range(j, j + n))
+                    found.add(str(item_id))
+    return len(words), len(hit), sorted(found)
