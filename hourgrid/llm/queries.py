@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import chat, decontaminate, mixing, quality
+from hourgrid.llm import chat, decontaminate, mixing, neardup, quality
 from hourgrid.llm.frames import query
 
 QUERIES = [
     mixing.op3_mix_sources,
     chat.op5_chat_format,
+    neardup.op6_near_duplicates,
     decontaminate.op7_decontaminate,
     quality.op10_quality_rules,
 ]

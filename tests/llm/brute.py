@@ -82,3 +82,36 @@ def contamination(text, items, window=10):
                     hit.update(range(j, j + n))
                     found.add(str(item_id))
     return len(words), len(hit), sorted(found)
+
+
+def shingles(text, size=5):
+    words = SPACED.findall((text or "").translate(LOWER))
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def near_duplicates(rows):
+    """(doc_id, text) rows to sorted (doc_id, n_shingles, component_id) by comparing all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    where = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            where.setdefault(x, []).append(i)
+    for i, a in enumerate(sets):
+        for j in {j for x in a for j in where[x] if j < i}:
+            both = len(a & sets[j])
+            if 100 * both >= 75 * (len(a) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(((d, len(s), least.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
