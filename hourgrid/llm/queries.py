@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import chat, decontaminate, mixing, neardup, quality
+from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring
 from hourgrid.llm.frames import query
 
 QUERIES = [
     mixing.op3_mix_sources,
+    substring.op4_remove_repeated_windows,
     chat.op5_chat_format,
     neardup.op6_near_duplicates,
     decontaminate.op7_decontaminate,

@@ -115,3 +115,19 @@ def near_duplicates(rows):
         if d is not None:
             least[find(i)] = min(d, least.get(find(i), d))
     return sorted(((d, len(s), least.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def repeats_removed(rows, window=20):
+    """(doc_id, text) rows to sorted (doc_id, n_words, n_removed, kept words)."""
+    big = 1 << 63
+    words = [SPACED.findall(t or "") for _, t in rows]
+    first = {}
+    for (d, _), w in zip(rows, words):
+        for i in range(len(w) - window + 1):
+            key, place = tuple(w[i : i + window]), (big if d is None else d, i)
+            first[key] = min(place, first.get(key, place))
+    out = []
+    for (d, _), w in zip(rows, words):
+        gone = {j for i in range(len(w) - window + 1) if first[tuple(w[i : i + window])] < (big if d is None else d, i) for j in range(i, i + window)}
+        out.append((d, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
+    return sorted(out, key=str)
