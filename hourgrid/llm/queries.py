@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring
+from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring, templates
 from hourgrid.llm.frames import query
 
 QUERIES = [
+    templates.op2_line_templates,
     mixing.op3_mix_sources,
     substring.op4_remove_repeated_windows,
     chat.op5_chat_format,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.ORACLE}
+    return {"op2_line_templates": templates.ORACLE, "op3_mix_sources": mixing.ORACLE}
