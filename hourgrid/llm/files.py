@@ -29,7 +29,7 @@ def write_bytes(uri: str, data: bytes) -> None:
     """Write a file whole; a task that is run again writes the same bytes again."""
     fs, path = filesystem(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(path) as out:
+    with fs.open_output_stream(path, compression=None) as out:
         out.write(data)
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring, templates
+from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring, templates, warc
 from hourgrid.llm.frames import query
 
 QUERIES = [
+    warc.op1_warc_archive,
     templates.op2_line_templates,
     mixing.op3_mix_sources,
     substring.op4_remove_repeated_windows,
