@@ -50,19 +50,8 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0,
-        id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` for every document.
-
-    A null text has size 0, a null source is a source of its own, a null id hashes as the
-    word ``null``. Rows with equal id share a hash and so are taken alike. Of the two ends
-    of the boundary document the one nearer to the target is taken, the lower on a tie.
-    """
-    size = F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = stored(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size"),
-        F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")), 1, DIGITS * LEVELS).alias("hash")), "mix")
-    targets = stored(shares(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-targets")
+def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per source how often all its documents are taken, and the hash below which once more."""
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + F.lit(1e-12))
     budget = F.greatest(F.col("target") - whole * F.col("source_size"), F.lit(0.0))
@@ -79,24 +68,45 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
         upto = histogram.withColumn("upto", F.sum("words").over(run)).join(
             at.select("b_source", "left"), _same(F.col("source"), F.col("b_source")))
         # the first bucket whose running sum passes the budget is the boundary
-        over = F.col("upto") > F.col("left")
-        found = upto.filter(over).groupBy("source").agg(
+        found = upto.filter(F.col("upto") > F.col("left")).groupBy("source").agg(
             F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("below"), "words")).alias("m"))
         found = found.select(F.col("source").alias("f_source"), F.col("m.bucket").alias("bucket"),
                              F.col("m.below").alias("below"), F.col("m.words").alias("words"))
         rest = F.col("left") - F.col("below")
-        joined = bounds.join(found, _same(F.col("source"), F.col("f_source")), "left")
         hit = F.col("bucket").isNotNull() & ~F.col("settled")
-        last = level == LEVELS - 1
-        prefix = F.when(hit, F.when(rest * 2 > F.col("words"), F.concat("bucket", F.lit("g"))).otherwise(F.col("bucket"))
-                        if last else F.col("bucket")).when(~F.col("settled"), F.concat("prefix", F.lit("g"))).otherwise(F.col("prefix"))
-        bounds = stored(joined.select(
+        # "g" stands behind every hex digit: all hashes of the prefix are below it
+        inner = F.col("bucket")
+        if level == LEVELS - 1:
+            inner = F.when(rest * 2 > F.col("words"), F.concat("bucket", F.lit("g"))).otherwise(F.col("bucket"))
+        prefix = F.when(hit, inner).when(~F.col("settled"), F.concat("prefix", F.lit("g"))).otherwise(F.col("prefix"))
+        bounds = stored(bounds.join(found, _same(F.col("source"), F.col("f_source")), "left").select(
             "source", "source_size", "target", "whole", F.when(hit, rest).otherwise(F.col("left")).alias("left"),
             prefix.alias("prefix"), (F.col("settled") | F.col("bucket").isNull()).alias("settled")), "mix-bounds")
-    b = bounds.select(F.col("source").alias("b_source"), "source_size", "target", "whole", "prefix")
-    copies = F.col("whole") + F.when(F.col("hash") < F.col("prefix"), 1).otherwise(0)
-    return rows.join(b, _same(F.col("source"), F.col("b_source"))).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return bounds
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0,
+        id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``docs`` with ``size, source_size, target, copies, taken`` for every document.
+
+    A null text has size 0, a null source is a source of its own, a null id hashes as the
+    word ``null``. Rows with equal id share a hash and so are taken alike. Of the two ends
+    of the boundary document the one nearer to the target is taken, the lower on a tie. An
+    input column named like a result column is replaced.
+    """
+    new = ["size", "source_size", "target", "copies", "taken"]
+    size = F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")
+    rows = docs.withColumns({"__source": F.col(source).cast("string"), "__size": size,
+                             "__hash": F.substring(F.md5(name), 1, DIGITS * LEVELS)})
+    narrow = stored(rows.select(F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__hash").alias("hash")), "mix")
+    targets = stored(shares(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-targets")
+    b = _thresholds(narrow, targets).select(
+        F.col("source").alias("b_source"), F.col("source_size").alias("b_size"), F.col("target").alias("b_target"), "whole", "prefix")
+    copies = F.col("whole") + F.when(F.col("__hash") < F.col("prefix"), 1).otherwise(0)
+    return rows.join(b, _same(F.col("__source"), F.col("b_source"))).select(
+        *[c for c in docs.columns if c not in new], F.col("__size").alias("size"), F.col("b_size").alias("source_size"),
+        F.col("b_target").alias("target"), copies.alias("copies"), (copies * F.col("__size")).alias("taken"))
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:

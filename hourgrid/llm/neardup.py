@@ -131,7 +131,7 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, label: str) -
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``doc_id, row, n_shingles, component_id, kept`` for every row of ``docs``; ``row`` is its ``row_key``.
 
     Texts without words and null texts have no shingles, form no class and are kept. Equal rows
     share their component; the component's id is its smallest id that is not null. ``kept`` is
@@ -168,11 +168,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         label.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(least, "root").select("sig_a", "sig_b", "n", "component_id")
-    out = rows.select("doc_id", "sig_a", "sig_b", "n").join(named, ["sig_a", "sig_b", "n"], "left")
+    out = rows.select("doc_id", "row", "sig_a", "sig_b", "n").join(named, ["sig_a", "sig_b", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring, templates, warc
 from hourgrid.llm.frames import query
 
@@ -18,7 +19,7 @@ QUERIES = [
 
 
 def queries() -> dict:
-    return {f.__name__: query(f) for f in QUERIES}
+    return {f.__name__: query(f) for f in QUERIES} | {"pipeline": query(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
