@@ -131,3 +131,18 @@ def repeats_removed(rows, window=20):
         gone = {j for i in range(len(w) - window + 1) if first[tuple(w[i : i + window])] < (big if d is None else d, i) for j in range(i, i + window)}
         out.append((d, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
     return sorted(out, key=str)
+
+
+def bytes_removed(rows, length=400):
+    """(doc_id, text) rows to sorted (doc_id, n_bytes, n_removed, n_spans, kept)."""
+    texts = [(t or "").encode() for _, t in rows]
+    count = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for (d, _), t in zip(rows, texts):
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if count[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        spans = sum(1 for i in range(len(t)) if gone[i] and (i == 0 or not gone[i - 1]))
+        out.append((d, len(t), sum(gone), spans, bytes(c for c, g in zip(t, gone) if not g)))
+    return sorted(out, key=str)
