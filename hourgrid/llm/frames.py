@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from hourgrid.session import scratch_path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: its lineage ends here."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from hourgrid.llm import chat, decontaminate, mixing, neardup, quality, substring, suffix, templates, warc
+from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, quality, substring, suffix, templates, warc
 from hourgrid.llm.frames import query
 
 QUERIES = [
@@ -14,6 +14,7 @@ QUERIES = [
     chat.op5_chat_format,
     neardup.op6_near_duplicates,
     decontaminate.op7_decontaminate,
+    interpolated.op8_interpolated_scores,
     suffix.op9_remove_repeated_bytes,
     quality.op10_quality_rules,
 ]

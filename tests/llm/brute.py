@@ -146,3 +146,37 @@ def bytes_removed(rows, length=400):
         spans = sum(1 for i in range(len(t)) if gone[i] and (i == 0 or not gone[i - 1]))
         out.append((d, len(t), sum(gone), spans, bytes(c for c, g in zip(t, gone) if not g)))
     return sorted(out, key=str)
+
+
+def interpolated(rows, deleted_counts=None):
+    """(doc_id, text) rows to sorted base rows, and a function (weights by bucket) -> {row number: score}."""
+    import math
+    import zlib
+
+    fold = [zlib.crc32(("null" if d is None else str(d)).encode()) % 10 for d, _ in rows]
+    tokens = [[*SPACED.findall((t or "").translate(LOWER)), None] for _, t in rows]
+    uni, bi, starts = Counter(), Counter(), 0
+    for f, ws in zip(fold, tokens):
+        if f:
+            uni.update(ws)
+            starts += 1
+            bi.update(zip([0, *ws], ws))
+    n, v = sum(uni.values()), len(uni)
+    base = []
+    for (d, _), f, ws in zip(rows, fold, tokens):
+        base.append((d, f == 0, len(ws), sum(uni[w] > 0 for w in ws), n,
+                     sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)))
+
+    def scores(weights):
+        out = []
+        for ws in tokens:
+            total = 0
+            for h, w in zip([0, *ws], ws):
+                c = starts if h == 0 else uni[h]
+                a, g, u = weights[min(47, int(math.log2(c + 1)))]
+                p = (a * bi[h, w] / c if c else 0) + g * uni[w] / n + u / (v + 1)
+                total += math.log10(p if c else p / (1 - a))
+            out.append(total)
+        return out
+
+    return base, scores

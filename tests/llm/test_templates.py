@@ -19,7 +19,7 @@ def brute(rows, min_docs):
             tokens = ["<*>" if re.search("[0-9]", t) else t for t in re.findall(r"[^\x20\x09-\x0D]+", line)]
             if tokens:
                 lines[(*key, at)] = tuple(tokens)
-                leaves.setdefault((len(tokens), *tokens[:3]), {}).setdefault(tuple(tokens), set()).add(nth)
+                leaves.setdefault((len(tokens), *tokens[:3]), {}).setdefault(tuple(tokens), []).append((nth, at))
     import hashlib
 
     md5 = lambda t: hashlib.md5(" ".join(t).encode()).hexdigest()
