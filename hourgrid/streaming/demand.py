@@ -12,12 +12,20 @@ WINDOW = "1 hour"
 LATE = "30 minutes"
 
 
-def trip_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", per_batch: int = 100) -> DataFrame:
-    """Trip files as a stream, a bounded number of new files per micro-batch."""
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", per_batch).parquet(folder)
-    )
+def trip_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", per_batch: int | None = None) -> DataFrame:
+    """Trip files as a stream; every trigger takes all files that are new.
+
+    So a back-fill is one micro-batch, and the watermark moves only after all of it. With
+    ``per_batch`` files a trigger, files must arrive in the order of their times: the watermark
+    advances between micro-batches, and rows older than it are dropped as late.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).parquet(folder)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows (partial sums, after map-side aggregation) that the watermark has dropped so far."""
+    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
 
 
 def zone_demand(trips: DataFrame, time: str = "pickup_ts", window: str = WINDOW, late: str = LATE) -> DataFrame:

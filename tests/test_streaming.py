@@ -36,6 +36,20 @@ def test_late_rows_drop_and_open_windows_wait(spark, tmp_path):
     ]
 
 
+def test_back_fill_from_unsorted_files_loses_nothing(spark, tmp_path):
+    source, target, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    for h in (20, 3, 15, 8, 1, 11):
+        put(spark, source, hour(h), hour(h, 30))
+    query = ST.start_zone_demand(ST.trip_stream(spark, source, DDL), target, log)
+    query.awaitTermination()
+    assert ST.late_rows(query) == 0
+    assert sorted(values(spark.read.parquet(target), "trip_count")) == [2] * 5
+    put(spark, source, hour(2), hour(4))  # behind the watermark of the run before
+    query = ST.start_zone_demand(ST.trip_stream(spark, source, DDL), target, log)
+    query.awaitTermination()
+    assert ST.late_rows(query) == 2
+
+
 def test_hotspots_rank_closed_windows(spark, tmp_path):
     source, target, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     put(spark, source, hour(8, 5), hour(8, 6), hour(8, 7, zone=2), hour(8, 7, zone=3, amount=0.5), hour(12))
