@@ -81,21 +81,22 @@ def zone_balance_hour(cube: DataFrame, dropoffs: DataFrame) -> DataFrame:
     )
 
 
-def _ranked_flows(trips: DataFrame, period: list[str], within: str, rank: str, n: int) -> DataFrame:
-    """Flows per period with dense rank at most n; the filter becomes a group limit that
+def _ranked_flows(trips: DataFrame, period: list[str], within: str, rank: str, n: int | None) -> DataFrame:
+    """Flows per period with dense rank at most n (all for None); the filter becomes a group limit that
     each task applies before the shuffle to the ranking."""
     keyed = X.add_trip_metrics(trips).dropna(subset=[S.PU, S.DO])
     flows = aggregate_trip_metrics(keyed, [*period, *S.ROUTE], "pickup_date")
     window = Window.partitionBy(within).orderBy(*desc("trip_count", "total_revenue"))
-    return flows.withColumn(rank, F.dense_rank().over(window)).where(F.col(rank) <= n)
+    ranked = flows.withColumn(rank, F.dense_rank().over(window))
+    return ranked if n is None else ranked.where(F.col(rank) <= n)
 
 
-def od_flow_hour(trips: DataFrame, top_n: int = 500) -> DataFrame:
+def od_flow_hour(trips: DataFrame, top_n: int | None = 500) -> DataFrame:
     flows = _ranked_flows(trips, ["hour"], "hour", "route_rank_in_hour", top_n)
     return flows.orderBy("hour", "route_rank_in_hour")
 
 
-def od_flow_year_month(trips: DataFrame, top_n: int = 500) -> DataFrame:
+def od_flow_year_month(trips: DataFrame, top_n: int | None = 500) -> DataFrame:
     period = ["year", "month", "year_month"]
     flows = _ranked_flows(trips, period, "year_month", "route_rank_in_year_month", top_n)
     return flows.orderBy("year", "month", "route_rank_in_year_month")
@@ -110,7 +111,7 @@ def map_replay_sample(
     rows are partitioned; the limit runs as a top-k per task and one small merge. What
     follows handles at most ``sample_size`` rows.
     """
-    stamp = [F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("pickup_ts", "dropoff_ts")]
+    stamp = [F.unix_timestamp(F.col(c).cast("timestamp")) for c in ("pickup_ts", "dropoff_ts")]
     lottery = F.md5(F.concat_ws("|", F.lit(str(seed)), S.PU, S.DO, *stamp))
     ties = [S.TOTAL, S.DISTANCE, S.MINUTES]
     sampled = (

@@ -13,9 +13,9 @@ from hourgrid.operators.business import sort_keys
 GetTable = Callable[[str], DataFrame]
 
 
-def clamp_limit(limit: int | None, default: int, maximum: int) -> int:
-    """Non-positive or absent limits become the default, large ones the maximum."""
-    return default if limit is None or limit <= 0 else min(limit, maximum)
+def asked_limit(limit: int | None, default: int) -> int:
+    """The limit asked for; absent and non-positive ones become the default."""
+    return default if limit is None or limit <= 0 else limit
 
 
 def scoped_lookup(
@@ -39,17 +39,17 @@ def scoped_lookup(
 @dataclass(frozen=True)
 class Preset:
     """A lookup as data. ``filters`` maps parameter -> column; ``yearly`` replaces table and
-    sort when a year is given; ``cap`` is (default, maximum) or None for no limit; ``cap_needs``
+    sort when a year is given; ``first`` is the default limit or None for no limit; ``first_needs``
     names a parameter without which the limit does not apply; ``key`` ends every sort that
     has a limit, so that the kept rows are the same on every run."""
 
     table: str
     sort: list[str] = field(default_factory=list)
     filters: dict[str, str] = field(default_factory=dict)
-    cap: tuple[int, int] | None = None
+    first: int | None = None
     key: list[str] = field(default_factory=list)
     yearly: tuple[str, list[str]] | None = None
-    cap_needs: str | None = None
+    first_needs: str | None = None
 
 
 _YEAR = {"year": "year"}
@@ -82,61 +82,61 @@ PRESETS: dict[str, Preset] = {
     "temporal_efficiency": Preset("revenue_efficiency_temporal", ["year", "month"], _YEAR),
     # spatial
     "spatial_top_zones": Preset(
-        "top_zones_overall", ["-total_trips"], _YEAR, (25, 500), _ZONE_KEY,
+        "top_zones_overall", ["-total_trips"], _YEAR, 25, _ZONE_KEY,
         yearly=("top_zones_by_year", ["zone_rank_in_year"]),
     ),
     "spatial_rank_change": Preset(
-        "zone_rank_change", ["-rank_improvement", "-trip_count_change"], {}, (50, 500), _ZONE_KEY
+        "zone_rank_change", ["-rank_improvement", "-trip_count_change"], {}, 50, _ZONE_KEY
     ),
     "spatial_zones_by_hour": Preset(
-        "top_zones_by_hour", ["hour", "zone_rank_in_hour"], {"hour": "hour"}, (10, 100), _ZONE_KEY,
-        cap_needs="hour",
+        "top_zones_by_hour", ["hour", "zone_rank_in_hour"], {"hour": "hour"}, 10, _ZONE_KEY,
+        first_needs="hour",
     ),
     # routes
-    "routes_top": Preset("top_routes_overall", ["route_rank"], {}, (25, 500), _ROUTE_KEY),
-    "routes_airport": Preset("top_airport_routes", ["route_rank", "-trip_count"], {}, (25, 500), _ROUTE_KEY),
+    "routes_top": Preset("top_routes_overall", ["route_rank"], {}, 25, _ROUTE_KEY),
+    "routes_airport": Preset("top_airport_routes", ["route_rank", "-trip_count"], {}, 25, _ROUTE_KEY),
     "routes_inter_borough": Preset(
-        "top_inter_borough_routes", ["route_rank", "-trip_count"], {}, (25, 500), _ROUTE_KEY
+        "top_inter_borough_routes", ["route_rank", "-trip_count"], {}, 25, _ROUTE_KEY
     ),
     "routes_matrix": Preset("route_borough_matrix", ["-total_trips"]),
     "routes_trip_matrix": Preset("pickup_dropoff_borough_matrix", ["-trip_count"]),
     "routes_airport_summary": Preset("airport_trip_summary", ["year", "airport_trip_type"], _YEAR),
     "routes_efficiency": Preset(
-        "route_efficiency_ranking", ["-revenue_per_mile", "-trip_count"], {}, (25, 500), _ROUTE_KEY
+        "route_efficiency_ranking", ["-revenue_per_mile", "-trip_count"], {}, 25, _ROUTE_KEY
     ),
     "routes_tips": Preset(
-        "route_tip_ranking", ["-route_tip_share", "-avg_tip_amount"], {}, (25, 500), _ROUTE_KEY
+        "route_tip_ranking", ["-route_tip_share", "-avg_tip_amount"], {}, 25, _ROUTE_KEY
     ),
-    "routes_concentration": Preset("route_concentration", ["route_order"], {}, (500, 5000)),
+    "routes_concentration": Preset("route_concentration", ["route_order"], {}, 500),
     # map
     "map_centroids": Preset("zone_centroids", ["LocationID"]),
     "map_dropoffs": Preset(
         "dropoff_zone_hour_features", ["-trip_count"], {**_CALENDAR, "borough": "dropoff_borough"},
-        (500, 5000), ["DOLocationID", "dropoff_date", "hour"],
+        500, ["DOLocationID", "dropoff_date", "hour"],
     ),
     "map_balance": Preset(
         "zone_balance_hour", ["-total_zone_activity"],
         {**_CALENDAR, "borough": "borough", "direction": "balance_direction"},
-        (500, 5000), ["LocationID", "activity_date", "hour"],
+        500, ["LocationID", "activity_date", "hour"],
     ),
     "map_flows_hour": Preset(
         "od_flow_hour", ["hour", "route_rank_in_hour"],
-        {"hour": "hour", "borough": "pickup_borough"}, (500, 5000), _ROUTE_KEY,
+        {"hour": "hour", "borough": "pickup_borough"}, 500, _ROUTE_KEY,
     ),
     "map_flows_month": Preset(
         "od_flow_year_month", ["year", "month", "route_rank_in_year_month"],
         {"year": "year", "month": "month", "year_month": "year_month", "borough": "pickup_borough"},
-        (500, 5000), _ROUTE_KEY,
+        500, _ROUTE_KEY,
     ),
-    "map_replay": Preset("map_replay_sample", ["pickup_epoch_ms"], _CALENDAR, (5000, 20000), ["replay_trip_id"]),
+    "map_replay": Preset("map_replay_sample", ["pickup_epoch_ms"], _CALENDAR, 5000, ["replay_trip_id"]),
     # profiles
     "profiles_zones": Preset(
-        "zone_profile_summary", ["-total_trips"], {"borough": "pickup_borough"}, (300, 1000), _ZONE_KEY
+        "zone_profile_summary", ["-total_trips"], {"borough": "pickup_borough"}, 300, _ZONE_KEY
     ),
     "profiles_zone": Preset("zone_profile_summary", [], {"zone": "PULocationID"}),
     "profiles_routes": Preset(
         "route_profile_summary", ["route_rank"],
-        {"pickup_borough": "pickup_borough", "dropoff_borough": "dropoff_borough"}, (300, 1000),
+        {"pickup_borough": "pickup_borough", "dropoff_borough": "dropoff_borough"}, 300,
         _ROUTE_KEY,
     ),
     "profiles_route": Preset(
@@ -156,12 +156,12 @@ PRESETS: dict[str, Preset] = {
     "forecast_by_hour": Preset("error_by_hour", ["hour"]),
     "forecast_by_borough": Preset("error_by_borough", ["-aggregate_absolute_error"]),
     "forecast_zones": Preset(
-        "zone_accuracy", ["-aggregate_absolute_error"], {}, (300, 500), _ZONE_KEY
+        "zone_accuracy", ["-aggregate_absolute_error"], {}, 300, _ZONE_KEY
     ),
     "forecast_heatmap": Preset("weekday_hour_error_heatmap", ["day_of_week", "hour"]),
     "forecast_zone_hour": Preset(
         "forecast_zone_hour", ["-absolute_error"], {**_CALENDAR, "date": "pickup_date"},
-        (1000, 10000), ["pickup_date", "hour", "PULocationID"],
+        1000, ["pickup_date", "hour", "PULocationID"],
     ),
 }
 
@@ -179,13 +179,13 @@ def resolve(name: str, limit: int | None = None, **params) -> tuple[str, dict, l
             table, sort = preset.yearly
         else:
             filters.pop("year", None)
-    capped = preset.cap and (preset.cap_needs is None or params.get(preset.cap_needs) is not None)
-    count = clamp_limit(limit, *preset.cap) if capped else None
+    limited = preset.first and (preset.first_needs is None or params.get(preset.first_needs) is not None)
+    count = asked_limit(limit, preset.first) if limited else None
     return table, filters, [*sort, *(preset.key if count else [])], count
 
 
 def lookup(tables: GetTable, name: str, limit: int | None = None, **params) -> DataFrame:
-    """Run one preset over a table provider."""
+    """Run one preset over a provider of ranked but uncut tables (``Tables.ranked.table``)."""
     table, filters, sort, count = resolve(name, limit, **params)
     return scoped_lookup(tables(table), filters, sort, count)
 
@@ -193,7 +193,7 @@ def lookup(tables: GetTable, name: str, limit: int | None = None, **params) -> D
 def filter_values(tables: GetTable) -> dict[str, DataFrame]:
     """Choices for filter boxes: years, boroughs, and zones once each, by name."""
     zones = (
-        tables("top_zones_by_year").groupBy("PULocationID")
+        tables("zone_hour_features").groupBy("PULocationID")
         .agg(F.min(F.struct("pickup_zone", "pickup_borough")).alias("z"))
         .select("PULocationID", "z.*").orderBy("pickup_zone", "PULocationID")
     )
@@ -211,8 +211,8 @@ def overview(tables: GetTable, year: int | None = None, zone_limit: int = 12, ro
         "year_month_demand": lookup(tables, "temporal_year_month", year=year),
         "hourly_demand": lookup(tables, "temporal_hourly", year=year),
         "weekday_hour_heatmap": lookup(tables, "temporal_heatmap", year=year),
-        "top_zones": lookup(tables, "spatial_top_zones", limit=clamp_limit(zone_limit, 12, 100), year=year),
-        "top_routes": lookup(tables, "routes_top", limit=clamp_limit(route_limit, 8, 100)),
+        "top_zones": lookup(tables, "spatial_top_zones", limit=asked_limit(zone_limit, 12), year=year),
+        "top_routes": lookup(tables, "routes_top", limit=asked_limit(route_limit, 8)),
     }
 
 
@@ -232,7 +232,7 @@ def temporal_story(tables: GetTable, year: int | None = None, borough: str | Non
 
 
 def spatial_story(tables: GetTable, year: int | None = None, hour: int | None = None, zone_limit: int = 25) -> dict[str, DataFrame]:
-    count = clamp_limit(zone_limit, 25, 500)
+    count = asked_limit(zone_limit, 25)
     by_hour = PRESETS["spatial_zones_by_hour"]
     return {
         "top_zones": lookup(tables, "spatial_top_zones", limit=count, year=year),
@@ -245,7 +245,7 @@ def spatial_story(tables: GetTable, year: int | None = None, hour: int | None =
 
 
 def routes_story(tables: GetTable, route_limit: int = 25) -> dict[str, DataFrame]:
-    count = clamp_limit(route_limit, 25, 500)
+    count = asked_limit(route_limit, 25)
     return {
         "top_routes": lookup(tables, "routes_top", limit=count),
         "top_airport_routes": lookup(tables, "routes_airport", limit=count),
@@ -273,6 +273,6 @@ def forecast_story(tables: GetTable, zone_limit: int = 300) -> dict[str, DataFra
         "daily_actual_predicted": lookup(tables, "forecast_daily"),
         "error_by_hour": lookup(tables, "forecast_by_hour"),
         "error_by_borough": lookup(tables, "forecast_by_borough"),
-        "zone_accuracy": lookup(tables, "forecast_zones", limit=clamp_limit(zone_limit, 300, 500)),
+        "zone_accuracy": lookup(tables, "forecast_zones", limit=asked_limit(zone_limit, 300)),
         "weekday_hour_error_heatmap": lookup(tables, "forecast_heatmap"),
     }

@@ -62,8 +62,8 @@ def zone_profile_summary(cube: DataFrame, trips: DataFrame) -> DataFrame:
     )
 
 
-def route_profile_summary(trips: DataFrame, top_n: int = 1000) -> DataFrame:
-    """Profiles of the busiest routes (dense rank at most ``top_n``; ties stay).
+def route_profile_summary(trips: DataFrame, top_n: int | None = 1000) -> DataFrame:
+    """Profiles of the busiest routes (dense rank at most ``top_n``, all for None; ties stay).
 
     Ranked over key ranges, so even a rank shared by most routes is spread over tasks.
     """
@@ -72,5 +72,5 @@ def route_profile_summary(trips: DataFrame, top_n: int = 1000) -> DataFrame:
         rollup(measured, S.ROUTE, M.route_profile()), ["trip_count", "total_revenue"],
         "route_rank", tie=("route_key",),
     )
-    leading = ranked.where(F.col("route_rank") <= top_n)
+    leading = ranked if top_n is None else ranked.where(F.col("route_rank") <= top_n)
     return leading.join(route_peak_hour(measured), "route_key", "left").orderBy("route_rank")

@@ -49,3 +49,8 @@ def add_revenue_efficiency(df: DataFrame) -> DataFrame:
             "total_trips", F.col("active_days") * F.col("active_pickup_zones")
         ),
     })
+
+
+def leading(ordered: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` rows, or all of them for None."""
+    return ordered if n is None else ordered.limit(n)

@@ -9,7 +9,7 @@ from hourgrid import schema as S
 from hourgrid.functions import exprs as X
 from hourgrid.functions import measures as M
 from hourgrid.operators.ordering import desc, number_all
-from hourgrid.operators.rollup import rollup
+from hourgrid.operators.rollup import leading, rollup
 
 _TOP_COLUMNS = [
     "route_rank", *S.ROUTE, "trip_count", "active_days", "avg_trips_per_active_day",
@@ -24,36 +24,36 @@ def route_borough_matrix(routes: DataFrame) -> DataFrame:
     return rollup(routes, keys, M.route_group()).orderBy(F.desc("total_trips"))
 
 
-def top_routes_overall(routes: DataFrame, top_n: int = 25) -> DataFrame:
+def top_routes_overall(routes: DataFrame, top_n: int | None = 25) -> DataFrame:
     wanted = routes.select(*[c for c in _TOP_COLUMNS if c in routes.columns])
-    return wanted.orderBy("route_rank", *desc("trip_count", "total_revenue"), "route_key").limit(top_n)
+    return leading(wanted.orderBy("route_rank", *desc("trip_count", "total_revenue"), "route_key"), top_n)
 
 
-def _busiest(routes: DataFrame, top_n: int) -> DataFrame:
-    return routes.orderBy(*desc("trip_count", "total_revenue"), "route_key").limit(top_n)
+def _busiest(routes: DataFrame, top_n: int | None) -> DataFrame:
+    return leading(routes.orderBy(*desc("trip_count", "total_revenue"), "route_key"), top_n)
 
 
-def top_inter_borough_routes(routes: DataFrame, top_n: int = 25) -> DataFrame:
+def top_inter_borough_routes(routes: DataFrame, top_n: int | None = 25) -> DataFrame:
     return _busiest(routes.where(F.col("pickup_borough") != F.col("dropoff_borough")), top_n)
 
 
-def top_airport_routes(routes: DataFrame, top_n: int = 25) -> DataFrame:
+def top_airport_routes(routes: DataFrame, top_n: int | None = 25) -> DataFrame:
     return _busiest(routes.where(X.at_airport("pickup") | X.at_airport("dropoff")), top_n)
 
 
-def route_efficiency_ranking(routes: DataFrame, top_n: int = 25, min_trips: int = 1000) -> DataFrame:
+def route_efficiency_ranking(routes: DataFrame, top_n: int | None = 25, min_trips: int = 1000) -> DataFrame:
     rated = routes.withColumns({
         "revenue_per_mile": X.ratio("total_revenue", "total_trip_distance"),
         "revenue_per_minute": X.ratio("total_revenue", "total_trip_duration_min"),
     })
     order = [*desc("revenue_per_mile", "trip_count"), "route_key"]
-    return rated.where(F.col("trip_count") >= min_trips).orderBy(*order).limit(top_n)
+    return leading(rated.where(F.col("trip_count") >= min_trips).orderBy(*order), top_n)
 
 
-def route_tip_ranking(routes: DataFrame, top_n: int = 25, min_trips: int = 1000) -> DataFrame:
+def route_tip_ranking(routes: DataFrame, top_n: int | None = 25, min_trips: int = 1000) -> DataFrame:
     rated = routes.withColumn("route_tip_share", X.ratio("total_tip_amount", "total_revenue"))
     order = [*desc("route_tip_share", "avg_tip_amount", "trip_count"), "route_key"]
-    return rated.where(F.col("trip_count") >= min_trips).orderBy(*order).limit(top_n)
+    return leading(rated.where(F.col("trip_count") >= min_trips).orderBy(*order), top_n)
 
 
 def route_concentration(routes: DataFrame) -> DataFrame:

@@ -10,10 +10,7 @@ from hourgrid.functions import exprs as X
 from hourgrid.functions.measures import MeasureSet, demand
 from hourgrid.operators.ordering import dense_rank_all, desc
 from hourgrid.operators.rollup import (
-    add_partition_share,
-    add_revenue_efficiency,
-    aggregate_demand,
-    rollup,
+    add_partition_share, add_revenue_efficiency, aggregate_demand, leading, rollup,
 )
 
 _RANK = ("total_trips", "total_revenue")
@@ -25,14 +22,15 @@ _DAY_TYPE_VALUES = [
 ]
 
 
-def _top_within(table: DataFrame, within: str, rank: str, n: int) -> DataFrame:
-    """Rows whose dense rank by trips, revenue is at most n; ties stay.
+def _top_within(table: DataFrame, within: str, rank: str, n: int | None) -> DataFrame:
+    """Rows whose dense rank by trips, revenue is at most n (all for None); ties stay.
 
     Spark turns the filter into a group limit below the shuffle, so each task sends at most
     its own n leading ranks per partition value.
     """
     window = Window.partitionBy(within).orderBy(*desc(*_RANK))
-    return table.withColumn(rank, F.dense_rank().over(window)).where(F.col(rank) <= n).orderBy(within, rank)
+    ranked = table.withColumn(rank, F.dense_rank().over(window))
+    return (ranked if n is None else ranked.where(F.col(rank) <= n)).orderBy(within, rank)
 
 
 def kpi_summary(cube: DataFrame) -> DataFrame:
@@ -84,12 +82,12 @@ def rush_hour_summary(cube: DataFrame) -> DataFrame:
     return aggregate_demand(X.add_time_period(cube), keys).orderBy("time_period_order")
 
 
-def top_zones_by_hour(cube: DataFrame, top_n: int = 10) -> DataFrame:
+def top_zones_by_hour(cube: DataFrame, top_n: int | None = 10) -> DataFrame:
     return _top_within(aggregate_demand(cube, ["hour", *_ZONE]), "hour", "zone_rank_in_hour", top_n)
 
 
-def top_zones_overall(cube: DataFrame, top_n: int = 25) -> DataFrame:
-    return aggregate_demand(cube, _ZONE).orderBy(*desc(*_RANK), S.PU).limit(top_n)
+def top_zones_overall(cube: DataFrame, top_n: int | None = 25) -> DataFrame:
+    return leading(aggregate_demand(cube, _ZONE).orderBy(*desc(*_RANK), S.PU), top_n)
 
 
 def yearly_summary(cube: DataFrame) -> DataFrame:
@@ -176,7 +174,7 @@ def peak_hour_summary(cube: DataFrame, top_n: int = 10) -> DataFrame:
     return _top_within(aggregate_demand(cube, ["year", "hour"]), "year", "hour_rank_in_year", top_n)
 
 
-def top_zones_by_year(cube: DataFrame, top_n: int = 10) -> DataFrame:
+def top_zones_by_year(cube: DataFrame, top_n: int | None = 10) -> DataFrame:
     return _top_within(aggregate_demand(cube, ["year", *_ZONE]), "year", "zone_rank_in_year", top_n)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourgrid.operators.rollup import leading
+
 NOT_NAMED = "N/A"  # fixed value
 
 
@@ -72,10 +74,10 @@ def _text_of(table: DataFrame, *names: str) -> Column:
     return F.coalesce(*present) if present else F.lit(None)
 
 
-def busiest_zone_forecast(forecast: DataFrame, rows: int = 160) -> DataFrame:
+def busiest_zone_forecast(forecast: DataFrame, rows: int | None = None) -> DataFrame:
     """Forecast series of the zone with the largest actual (else predicted) sum.
 
-    Alternative column names of actual, predicted and zone are accepted.
+    The whole series, or its first ``rows``. Alternative column names of actual, predicted and zone are accepted.
     """
     hour = F.coalesce(_any_of(forecast, "hour").cast("int"), F.lit(0))
     day = F.col("pickup_date").cast("date")
@@ -89,10 +91,8 @@ def busiest_zone_forecast(forecast: DataFrame, rows: int = 160) -> DataFrame:
     busiest = (
         series.groupBy("zone").agg(F.sum(counted).alias("n")).orderBy(F.desc("n"), "zone").limit(1)
     )
-    return (
-        series.join(busiest, "zone", "left_semi")
-        .orderBy("date_time", "actual_value", "predicted_value").limit(rows)
-    )
+    ordered = series.join(busiest, "zone", "left_semi").orderBy("date_time", "actual_value", "predicted_value")
+    return leading(ordered, rows)
 
 
 def named_routes_top(routes: DataFrame, top_n: int = 10) -> DataFrame:

@@ -20,18 +20,21 @@ from hourgrid.sources import sinks
 
 @dataclass(frozen=True)
 class Params:
-    """Everything a table can be asked for; the defaults are those of the full data."""
+    """Everything a table can be asked for; the defaults are those of the full data.
+
+    A top-N of None keeps all ranked rows.
+    """
 
     window: tuple[str, str] = clean.WINDOW
-    zones_top: int = 10
-    zones_overall: int = 25
-    routes_top: int = 25
+    zones_top: int | None = 10
+    zones_overall: int | None = 25
+    routes_top: int | None = 25
     min_route_trips: int = 1000
     rank_change: int = 50
-    flows_top: int = 500
+    flows_top: int | None = 500
     replay_size: int = 5000
     replay_seed: int = 42
-    profiles_top: int = 1000
+    profiles_top: int | None = 1000
     full: tuple[str, str] = forecast.FULL
     train: tuple[str, str] = forecast.TRAIN
     evaluation: tuple[str, str] = forecast.EVALUATION
@@ -142,7 +145,16 @@ class Tables:
         return builders()[name](self)
 
     def with_params(self, **changes) -> Tables:
-        return Tables(self.sources, replace(self.params, **changes))
+        """The same inputs and staged tables under other parameters."""
+        other = Tables(self.sources, replace(self.params, **changes))
+        if "window" not in changes:
+            other.__dict__.update({k: v for k, v in self.__dict__.items() if k in ("trips", "cube", "routes")})
+        return other
+
+    @cached_property
+    def ranked(self) -> Tables:
+        """Ranked tables with all their rows, as lookups need them; only the replay stays a sample."""
+        return self.with_params(zones_top=None, zones_overall=None, routes_top=None, flows_top=None, profiles_top=None)
 
 
 def builders() -> dict[str, Callable[[Tables], DataFrame]]:

@@ -9,6 +9,7 @@ exactly half-way between two roundings, so both sides add the same nudge first.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 WINDOW = ("1996-01-01 00:00:00", "2001-01-01 00:00:00")
 YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2002]
@@ -321,7 +322,7 @@ CTES: dict[str, str] = {
  FROM ring_centres GROUP BY id""",
     "area_boxes": """SELECT id, avg(px) AS mx, avg(py) AS my, min(px) AS x0, min(py) AS y0, max(px) AS x1, max(py) AS y1 FROM points GROUP BY id""",
     "replay_pool": f"""SELECT * FROM trips ORDER BY md5('{SEED}' || '|' || PULocationID || '|' || DOLocationID || '|' ||
- strftime(pickup_ts, '%Y-%m-%d %H:%M:%S') || '|' || strftime(dropoff_ts, '%Y-%m-%d %H:%M:%S')),
+ CAST(epoch(pickup_ts) AS BIGINT) || '|' || CAST(epoch(dropoff_ts) AS BIGINT)),
  total_amount, trip_distance, trip_duration_min LIMIT {REPLAY}""",
     "event_hours": """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
  CAST(user_id AS INTEGER) AS PULocationID, count(*) AS trip_count, sum(value) AS total_revenue FROM events GROUP BY ALL""",
@@ -374,10 +375,10 @@ def _top_within(keys: str, within: str, rank: str, n: int) -> str:
     return f"SELECT * FROM (SELECT *, {_RANKED.format(within, 'total_trips')} AS {rank} FROM ({demand(keys)})) WHERE {rank} <= {n}"
 
 
-def _flows(keys: str, within: str, rank: str) -> str:
+def _flows(keys: str, within: str, rank: str, n: int) -> str:
     r = ", ".join(ROUTE)
     return f"""SELECT * FROM (SELECT *, {_RANKED.format(within, 'trip_count')} AS {rank} FROM (
- SELECT {keys}, {r}, {_flow_sql('pickup_date')} FROM measured GROUP BY {keys}, {r})) WHERE {rank} <= {FLOWS_TOP}"""
+ SELECT {keys}, {r}, {_flow_sql('pickup_date')} FROM measured GROUP BY {keys}, {r})) WHERE {rank} <= {n}"""
 
 
 _AIRPORT_ROUTE = f"({_AIRPORT['pickup']} OR {_AIRPORT['dropoff']})"
@@ -423,10 +424,20 @@ CTES["served_forecast"] = """SELECT pickup_date, year, month, strftime(pickup_da
 CTES["zone_series"] = """SELECT pickup_zone AS zone, CAST(pickup_date AS TIMESTAMP) + to_hours(hour) AS date_time,
  actual_trip_count AS actual_value, predicted_trip_count AS predicted_value FROM served_forecast"""
 CTES["yearly"] = demand("year")
-CTES["zone_tops"] = _top_within(f"year, {_ZONE}", "year", "zone_rank_in_year", ZONES_TOP)
 
 
-def _tables() -> dict[str, tuple[str, list[str]]]:
+@dataclass(frozen=True)
+class Limits:
+    """Top-N of the ranked tables."""
+
+    zones: int = ZONES_TOP
+    overall: int = ZONES_OVERALL
+    routes: int = ROUTES_TOP
+    flows: int = FLOWS_TOP
+    profiles: int = PROFILES_TOP
+
+
+def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
     """name -> (body, columns)."""
     d = DEMAND
     out = {
@@ -510,9 +521,9 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
         "rush_hour_summary": (
             demand("time_period_order, time_period", source="periods"), ["time_period_order", "time_period", *d]),
         "top_zones_by_hour": (
-            _top_within(f"hour, {_ZONE}", "hour", "zone_rank_in_hour", ZONES_TOP), ["hour", *PU[:3], *d, "zone_rank_in_hour"]),
+            _top_within(f"hour, {_ZONE}", "hour", "zone_rank_in_hour", n.zones), ["hour", *PU[:3], *d, "zone_rank_in_hour"]),
         "top_zones_overall": (
-            top(demand(_ZONE), "total_trips DESC, total_revenue DESC, PULocationID", ZONES_OVERALL), [*PU[:3], *d]),
+            top(demand(_ZONE), "total_trips DESC, total_revenue DESC, PULocationID", n.overall), [*PU[:3], *d]),
         "yearly_summary": (
             """SELECT *, (total_trips - prev_year_trips) / prev_year_trips AS yoy_trip_change,
  (total_revenue - prev_year_revenue) / prev_year_revenue AS yoy_revenue_change FROM (
@@ -540,8 +551,8 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
             "SELECT *, total_trips / sum(total_trips) OVER (PARTITION BY year) AS time_period_trip_share_in_year FROM ("
             + demand("year, time_period_order, time_period", source="periods") + ")",
             ["year", "time_period_order", "time_period", *d, "time_period_trip_share_in_year"]),
-        "peak_hour_summary": (_top_within("year, hour", "year", "hour_rank_in_year", ZONES_TOP), ["year", "hour", *d, "hour_rank_in_year"]),
-        "top_zones_by_year": ("SELECT * FROM zone_tops", ["year", *PU[:3], *d, "zone_rank_in_year"]),
+        "peak_hour_summary": (_top_within("year, hour", "year", "hour_rank_in_year", n.zones), ["year", "hour", *d, "hour_rank_in_year"]),
+        "top_zones_by_year": (_top_within(f"year, {_ZONE}", "year", "zone_rank_in_year", n.zones), ["year", *PU[:3], *d, "zone_rank_in_year"]),
         "zone_rank_change": (
             f"""SELECT PULocationID, coalesce(b.pickup_zone, a.pickup_zone) AS pickup_zone, coalesce(b.pickup_borough, a.pickup_borough) AS pickup_borough,
  a.year AS first_year, b.year AS last_year, a.zone_rank AS first_rank, b.zone_rank AS last_rank, a.zone_rank - b.zone_rank AS rank_improvement,
@@ -573,15 +584,15 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
             _list("pickup_borough dropoff_borough route_count total_trips total_revenue total_trip_distance total_trip_duration_min total_tip_amount "
                   "credit_card_trip_count cash_trip_count best_route_rank avg_revenue_per_trip avg_route_trip_distance avg_route_trip_duration_min "
                   "avg_tip_amount route_tip_share revenue_per_mile credit_card_share cash_share")),
-        "top_routes_overall": (top("SELECT * FROM routes", "route_rank, route_key", ROUTES_TOP), TOP_ROUTE_COLS),
+        "top_routes_overall": (top("SELECT * FROM routes", "route_rank, route_key", n.routes), TOP_ROUTE_COLS),
         "top_inter_borough_routes": (
-            top("SELECT * FROM routes", "trip_count DESC, total_revenue DESC, route_key", ROUTES_TOP, "pickup_borough <> dropoff_borough"), ROUTES),
-        "top_airport_routes": (top("SELECT * FROM routes", "trip_count DESC, total_revenue DESC, route_key", ROUTES_TOP, _AIRPORT_ROUTE), ROUTES),
+            top("SELECT * FROM routes", "trip_count DESC, total_revenue DESC, route_key", n.routes, "pickup_borough <> dropoff_borough"), ROUTES),
+        "top_airport_routes": (top("SELECT * FROM routes", "trip_count DESC, total_revenue DESC, route_key", n.routes, _AIRPORT_ROUTE), ROUTES),
         "route_efficiency_ranking": (
-            top(_EFFICIENCY, "revenue_per_mile DESC NULLS LAST, trip_count DESC, route_key", ROUTES_TOP, f"trip_count >= {MIN_TRIPS}"),
+            top(_EFFICIENCY, "revenue_per_mile DESC NULLS LAST, trip_count DESC, route_key", n.routes, f"trip_count >= {MIN_TRIPS}"),
             [*ROUTES, "revenue_per_mile", "revenue_per_minute"]),
         "route_tip_ranking": (
-            top(_TIPS, "route_tip_share DESC NULLS LAST, avg_tip_amount DESC NULLS LAST, trip_count DESC, route_key", ROUTES_TOP, f"trip_count >= {MIN_TRIPS}"),
+            top(_TIPS, "route_tip_share DESC NULLS LAST, avg_tip_amount DESC NULLS LAST, trip_count DESC, route_key", n.routes, f"trip_count >= {MIN_TRIPS}"),
             [*ROUTES, "route_tip_share"]),
         "route_concentration": (
             """SELECT *, cumulative_trips / overall_trips AS cumulative_trip_share FROM (SELECT *, row_number() OVER w AS route_order,
@@ -609,9 +620,9 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
             ["LocationID", "zone", "borough", "service_zone", "activity_date", *PARTS, "hour", *_list(
                 "pickup_trip_count dropoff_trip_count total_zone_activity net_dropoffs_minus_pickups net_pickups_minus_dropoffs balance_ratio "
                 "pickup_share dropoff_share pickup_revenue dropoff_revenue balance_direction")]),
-        "od_flow_hour": (_flows("hour", "hour", "route_rank_in_hour"), ["hour", *ROUTE, *FLOW, "route_rank_in_hour"]),
+        "od_flow_hour": (_flows("hour", "hour", "route_rank_in_hour", n.flows), ["hour", *ROUTE, *FLOW, "route_rank_in_hour"]),
         "od_flow_year_month": (
-            _flows("year, month, year_month", "year_month", "route_rank_in_year_month"),
+            _flows("year, month, year_month", "year_month", "route_rank_in_year_month", n.flows),
             ["year", "month", "year_month", *ROUTE, *FLOW, "route_rank_in_year_month"]),
         "map_replay_sample": (
             """SELECT *, row_number() OVER (ORDER BY pickup_ts, PULocationID, DOLocationID, total_amount, trip_distance, trip_duration_min) AS replay_trip_id,
@@ -649,7 +660,7 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
             f"""SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY trip_count DESC, total_revenue DESC) AS route_rank,
  trip_count / active_days AS avg_trips_per_active_day, total_tip_amount / trip_count AS avg_tip_amount FROM (
  SELECT {', '.join(ROUTE)}, {_flow_sql('pickup_date')}, min(pickup_date) AS first_seen_date, max(pickup_date) AS last_seen_date FROM measured GROUP BY {', '.join(ROUTE)}))
- LEFT JOIN ({_ROUTE_PEAK}) USING (route_key) WHERE route_rank <= {PROFILES_TOP}""", _ROUTE_PROFILE_COLS),
+ LEFT JOIN ({_ROUTE_PEAK}) USING (route_key) WHERE route_rank <= {n.profiles}""", _ROUTE_PROFILE_COLS),
         # forecast
         "lag_features": ("SELECT * FROM lagged", [*CUBE, *_list("lag_1_hour_trip_count lag_24_hour_trip_count rolling_24h_avg_trip_count")]),
         "forecast_frame": ("SELECT * FROM frame", FRAME),
@@ -727,7 +738,7 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
             ["pickup_borough", "hour", *d]),
         "busiest_zone_forecast": (
             """SELECT * FROM zone_series WHERE zone = (SELECT zone FROM zone_series GROUP BY zone
- ORDER BY sum(coalesce(nullif(actual_value, 0), predicted_value)) DESC, zone LIMIT 1) ORDER BY date_time, actual_value, predicted_value LIMIT 160""",
+ ORDER BY sum(coalesce(nullif(actual_value, 0), predicted_value)) DESC, zone LIMIT 1) ORDER BY date_time, actual_value, predicted_value""",
             _list("zone date_time actual_value predicted_value")),
         "named_routes_top": (top("SELECT * FROM routes", "route_rank, route_key", 10, "route_name NOT IN ('', 'N/A -> N/A')"), ROUTES),
         "actual_predicted_long": (
@@ -738,17 +749,21 @@ def _tables() -> dict[str, tuple[str, list[str]]]:
  SELECT sum(trip_count) AS actual, sum(predicted_trip_count) AS predicted, sum(trip_count) - sum(predicted_trip_count) AS error FROM predicted)""",
             _list("actual predicted error bias")),
         "flows_touching_borough": (
-            f"SELECT * FROM ({_flows('hour', 'hour', 'route_rank_in_hour')}) WHERE pickup_borough = 'EUROPE' OR dropoff_borough = 'EUROPE'",
+            f"SELECT * FROM ({_flows('hour', 'hour', 'route_rank_in_hour', n.flows)}) WHERE pickup_borough = 'EUROPE' OR dropoff_borough = 'EUROPE'",
             ["hour", *ROUTE, *FLOW, "route_rank_in_hour"]),
         # streaming extension
         "stream_zone_demand": ("SELECT * FROM closed_hours", _list("window_start window_end PULocationID trip_count total_revenue")),
+        "stream_zone_demand_parts": ("SELECT * FROM closed_hours", _list("window_start window_end PULocationID trip_count total_revenue")),
+        "stream_hotspots": (
+            """SELECT * FROM (SELECT *, dense_rank() OVER (PARTITION BY window_start ORDER BY trip_count DESC, total_revenue DESC) AS hotspot_rank
+ FROM closed_hours) WHERE hotspot_rank <= 3""", _list("window_start window_end PULocationID trip_count total_revenue hotspot_rank:INTEGER")),
         "batch_speed_merge": (
             f"SELECT * FROM event_hours WHERE window_start < TIMESTAMP '{CUTOFF}' UNION ALL SELECT * FROM closed_hours WHERE window_start >= TIMESTAMP '{CUTOFF}'",
             _list("window_start window_end PULocationID trip_count total_revenue")),
         "lk_filters": (
             """SELECT 'year' AS kind, NULL AS zone_id, CAST(year AS VARCHAR) AS name, NULL AS borough FROM yearly
  UNION ALL SELECT DISTINCT 'borough', NULL, pickup_borough, NULL FROM cube
- UNION ALL SELECT DISTINCT 'zone', PULocationID, pickup_zone, pickup_borough FROM zone_tops""",
+ UNION ALL SELECT DISTINCT 'zone', PULocationID, pickup_zone, pickup_borough FROM cube""",
             ["kind", "zone_id:INTEGER", "name", "borough"]),
     }
     for name, keys in {
@@ -805,12 +820,14 @@ def render(body: str, columns: list[str]) -> str:
     return f"{head}SELECT {', '.join(_typed(c) for c in columns)} FROM (\n{body}\n)"
 
 
-TABLES = _tables()
+TABLES = _tables(Limits())
+#: The ranked tables with all their rows.
+RANKED = _tables(Limits(*[2**31 - 1] * 5))
 
 
 def lookup(table: str, filters: dict, sort: list[str], limit: int | None) -> str:
     """SQL of a lookup over a table's oracle."""
-    body, columns = TABLES[table]
+    body, columns = RANKED[table]
     where = " AND ".join(
         f"{c} = " + (f"'{v}'" if isinstance(v, str) else str(v)) for c, v in filters.items() if v is not None
     ) or "true"
@@ -821,3 +838,57 @@ def lookup(table: str, filters: dict, sort: list[str], limit: int | None) -> str
 
 def sql() -> dict[str, str]:
     return {name: render(body, columns) for name, (body, columns) in TABLES.items()}
+
+
+#: What every registered lookup stands for, written out: table, filters, sort ("-" for descending), limit.
+LOOKUPS: dict[str, tuple[str, dict, list[str], int | None]] = {
+    "lk_temporal": ("year_hourly_pattern", {"year": 1998}, ["hour"], None),
+    "lk_temporal_kpi": ("kpi_summary", {}, [], None),
+    "lk_temporal_yearly": ("yearly_summary", {}, ["year"], None),
+    "lk_temporal_daily": ("daily_demand", {"year": 1999}, ["pickup_date"], None),
+    "lk_temporal_monthly": ("monthly_demand", {"year": 1997}, ["year", "month"], None),
+    "lk_temporal_year_month": ("year_month_demand", {"year": 1996}, ["year", "month"], None),
+    "lk_temporal_heatmap": ("year_weekday_hour_heatmap", {"year": 2000}, ["day_of_week", "hour"], None),
+    "lk_temporal_borough_year_month": ("borough_year_month", {"year": 1998, "pickup_borough": "ASIA"}, ["pickup_borough", "year", "month"], None),
+    "lk_temporal_borough_hourly": ("borough_hourly_pattern", {"pickup_borough": "EUROPE"}, ["pickup_borough", "hour"], None),
+    "lk_temporal_rush_hour": ("rush_hour_by_year", {"year": 1997}, ["year", "time_period_order"], None),
+    "lk_temporal_month_pattern": ("month_of_year_pattern", {}, ["month"], None),
+    "lk_temporal_day_type": ("weekday_weekend_hourly", {"day_type": "weekend"}, ["is_weekend", "hour"], None),
+    "lk_temporal_efficiency": ("revenue_efficiency_temporal", {"year": 1999}, ["year", "month"], None),
+    "lk_spatial": ("top_zones_by_year", {"year": 1998}, ["zone_rank_in_year", "PULocationID"], 2),
+    "lk_spatial_overall": ("top_zones_overall", {}, ["-total_trips", "PULocationID"], 5),
+    "lk_spatial_rank_change": ("zone_rank_change", {}, ["-rank_improvement", "-trip_count_change", "PULocationID"], 50),
+    "lk_spatial_zones_by_hour": ("top_zones_by_hour", {"hour": 8}, ["hour", "zone_rank_in_hour", "PULocationID"], 10),
+    "lk_routes": ("top_routes_overall", {}, ["route_rank", "route_key"], 7),
+    "lk_routes_all": ("top_routes_overall", {}, ["route_rank", "route_key"], 5000),
+    "lk_routes_airport": ("top_airport_routes", {}, ["route_rank", "-trip_count", "route_key"], 5),
+    "lk_routes_inter_borough": ("top_inter_borough_routes", {}, ["route_rank", "-trip_count", "route_key"], 25),
+    "lk_routes_matrix": ("route_borough_matrix", {}, ["-total_trips"], None),
+    "lk_routes_trip_matrix": ("pickup_dropoff_borough_matrix", {}, ["-trip_count"], None),
+    "lk_routes_airport_summary": ("airport_trip_summary", {"year": 1998}, ["year", "airport_trip_type"], None),
+    "lk_routes_efficiency": ("route_efficiency_ranking", {}, ["-revenue_per_mile", "-trip_count", "route_key"], 5),
+    "lk_routes_tips": ("route_tip_ranking", {}, ["-route_tip_share", "-avg_tip_amount", "route_key"], 5),
+    "lk_routes_concentration": ("route_concentration", {}, ["route_order"], 100),
+    "lk_map": ("zone_balance_hour", {"year": 1998, "hour": 9, "balance_direction": "pickup_heavy"}, ["-total_zone_activity", "LocationID", "activity_date", "hour"], 500),
+    "lk_map_centroids": ("zone_centroids", {}, ["LocationID"], None),
+    "lk_map_dropoffs": ("dropoff_zone_hour_features", {"month": 5, "dropoff_borough": "ASIA"}, ["-trip_count", "DOLocationID", "dropoff_date", "hour"], 100),
+    "lk_map_flows_hour": ("od_flow_hour", {"hour": 17, "pickup_borough": "AMERICA"}, ["hour", "route_rank_in_hour", "route_key"], 500),
+    "lk_map_flows_month": ("od_flow_year_month", {"year_month": "1999-02"}, ["year", "month", "route_rank_in_year_month", "route_key"], 500),
+    "lk_map_replay": ("map_replay_sample", {"year": 1997}, ["pickup_epoch_ms", "replay_trip_id"], 20),
+    "lk_profiles": ("zone_profile_summary", {"pickup_borough": "AFRICA"}, ["-total_trips", "PULocationID"], 300),
+    "lk_profiles_zone": ("zone_profile_summary", {"PULocationID": 7}, [], None),
+    "lk_profiles_routes": ("route_profile_summary", {"pickup_borough": "ASIA", "dropoff_borough": "EUROPE"}, ["route_rank", "route_key"], 300),
+    "lk_profiles_route": ("route_profile_summary", {"PULocationID": 19, "DOLocationID": 18}, [], None),
+    "lk_business": ("payment_type_by_year", {"year": 1999}, ["-trip_count"], None),
+    "lk_business_all": ("payment_type_summary", {}, ["-trip_count"], None),
+    "lk_business_behavior": ("trip_behavior_by_hour", {}, ["hour"], None),
+    "lk_forecast": ("forecast_zone_hour", {"month": 6, "hour": 12}, ["-absolute_error", "pickup_date", "hour", "PULocationID"], 50),
+    "lk_forecast_zones": ("zone_accuracy", {}, ["-aggregate_absolute_error", "PULocationID"], 5),
+    "lk_forecast_evaluation": ("model_evaluation_metrics", {}, ["RMSE"], None),
+    "lk_forecast_comparison": ("model_comparison", {}, ["RMSE"], None),
+    "lk_forecast_monthly": ("forecast_monthly", {}, ["year_month"], None),
+    "lk_forecast_daily": ("forecast_daily", {}, ["pickup_date"], None),
+    "lk_forecast_by_hour": ("error_by_hour", {}, ["hour"], None),
+    "lk_forecast_heatmap": ("weekday_hour_error_heatmap", {}, ["day_of_week", "hour"], None),
+    "lk_forecast_by_borough": ("error_by_borough", {}, ["-aggregate_absolute_error"], None),
+}

@@ -70,7 +70,7 @@ def scan_trips_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "zones")
-    sinks.write_table_csv_single(FX.zones(spark, sf_dir), path)
+    sinks.write_table_csv(FX.zones(spark, sf_dir), path, files=1)
     return SRC.scan_zone_lookup(spark, path)
 
 
@@ -82,7 +82,7 @@ def scan_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "centroids")
-    sinks.write_table_csv_full(tables(spark, sf_dir).table("zone_centroids"), path)
+    sinks.write_table_csv(tables(spark, sf_dir).table("zone_centroids"), path)
     return SRC.scan_centroids(spark, path)
 
 
@@ -105,6 +105,15 @@ def stream_zone_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def stream_zone_demand_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream from many files whose times are not in order."""
+    source, target, log = (scratch_path(spark, name) for name in ("events", "demand", "demand-log"))
+    FX.read(spark, sf_dir, "events").repartition(120, "event_id").write.parquet(source)
+    stream = FX.event_trips(ST.trip_stream(spark, source, FX.EVENT_SCHEMA))
+    ST.start_zone_demand(stream, target, log).awaitTermination()
+    return spark.read.parquet(target)
+
+
 def stream_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, log = scratch_path(spark, "hotspots"), scratch_path(spark, "hotspots-log")
     ST.start_hotspots(_event_stream(spark, sf_dir), target, log).awaitTermination()
@@ -149,6 +158,7 @@ LOOKUPS: dict[str, tuple[str, dict, int | None]] = {
     "lk_spatial_rank_change": ("spatial_rank_change", {}, None),
     "lk_spatial_zones_by_hour": ("spatial_zones_by_hour", {"hour": 8}, None),
     "lk_routes": ("routes_top", {}, 7),
+    "lk_routes_all": ("routes_top", {}, 5000),
     "lk_routes_airport": ("routes_airport", {}, 5),
     "lk_routes_inter_borough": ("routes_inter_borough", {}, None),
     "lk_routes_matrix": ("routes_matrix", {}, None),
@@ -166,13 +176,18 @@ LOOKUPS: dict[str, tuple[str, dict, int | None]] = {
     "lk_profiles": ("profiles_zones", {"borough": "AFRICA"}, None),
     "lk_profiles_zone": ("profiles_zone", {"zone": 7}, None),
     "lk_profiles_routes": ("profiles_routes", {"pickup_borough": "ASIA", "dropoff_borough": "EUROPE"}, None),
-    "lk_profiles_route": ("profiles_route", {"pickup": 3, "dropoff": 5}, None),
+    "lk_profiles_route": ("profiles_route", {"pickup": 19, "dropoff": 18}, None),
     "lk_business": ("business_payment", {"year": 1999}, None),
     "lk_business_all": ("business_payment", {}, None),
     "lk_business_behavior": ("business_behavior", {}, None),
     "lk_forecast": ("forecast_zone_hour", {"month": 6, "hour": 12}, 50),
     "lk_forecast_zones": ("forecast_zones", {}, 5),
     "lk_forecast_evaluation": ("forecast_evaluation", {}, None),
+    "lk_forecast_comparison": ("forecast_comparison", {}, None),
+    "lk_forecast_monthly": ("forecast_monthly", {}, None),
+    "lk_forecast_daily": ("forecast_daily", {}, None),
+    "lk_forecast_by_hour": ("forecast_by_hour", {}, None),
+    "lk_forecast_heatmap": ("forecast_heatmap", {}, None),
     "lk_forecast_by_borough": ("forecast_by_borough", {}, None),
 }
 
@@ -269,7 +284,7 @@ def _over_tables() -> dict[str, Callable[[Tables], DataFrame]]:
         "flows_touching_borough": lambda t: views.flows_touching_borough(t.table("od_flow_hour"), "EUROPE"),
         "lk_filters": lk_filters,
         **{
-            key: (lambda t, p=preset, kw=params, n=limit: lookups.lookup(t.table, p, n, **kw))
+            key: (lambda t, p=preset, kw=params, n=limit: lookups.lookup(t.ranked.table, p, n, **kw))
             for key, (preset, params, limit) in LOOKUPS.items()
         },
     }
@@ -279,7 +294,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         f.__name__: f for f in (
             scan_trips_merged, scan_zone_lookup, scan_feature_table, scan_centroids, scan_geojson,
-            stream_zone_demand, stream_hotspots, batch_speed_merge,
+            stream_zone_demand, stream_zone_demand_parts, stream_hotspots, batch_speed_merge,
         )
     }
     for name, build in {**builders(), **_over_tables()}.items():
@@ -290,7 +305,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    out = O.sql()
-    for key, (preset, params, limit) in LOOKUPS.items():
-        out[key] = O.lookup(*lookups.resolve(preset, limit, **params))
-    return out
+    return O.sql() | {key: O.lookup(*wanted) for key, wanted in O.LOOKUPS.items()}

@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.session import scratch_path
-
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_table_parquet(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet folder; the cube is best partitioned by ``year_month``."""
@@ -24,25 +20,10 @@ def write_cube_parquet(cube: DataFrame, path: str) -> None:
     write_table_parquet(cube.hint("rebalance", "year_month"), path, ["year_month"])
 
 
-def write_table_csv_full(table: DataFrame, path: str) -> None:
-    """Overwrite a folder of CSV parts with header."""
-    table.write.mode("overwrite").option("header", True).csv(path)
-
-
-def write_table_csv_single(table: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """One CSV file with header if the table has at most ``max_rows`` rows, else CSV parts.
-
-    The table is computed once, by all tasks, into the shared folder, and counted on the
-    way; only a result that proved small goes through a single task. Returns whether it did.
-    """
-    spark = table.sparkSession
-    seen = Observation()
-    staged = scratch_path(spark, "csv")
-    table.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staged)
-    rows = spark.read.schema(table.schema).parquet(staged)
-    small = seen.get["n"] <= max_rows
-    write_table_csv_full(rows.repartition(1) if small else rows, path)
-    return small
+def write_table_csv(table: DataFrame, path: str, files: int | None = None) -> None:
+    """Overwrite a folder of CSV parts with header; ``files`` asks for so many parts at any size."""
+    rows = table.repartition(files) if files else table
+    rows.write.mode("overwrite").option("header", True).csv(path)
 
 
 def publish_with_provenance(table: DataFrame, target: str, name: str, source: str, fmt: str = "parquet") -> None:

@@ -9,7 +9,8 @@ NAMES = [
     "scan_trips_merged", "cleaning_report", "trip_flags", "borough_hour_features", "top_routes",
     "top_zones_by_hour", "zone_rank_change", "airport_trip_summary", "zone_balance_hour",
     "map_replay_sample", "zone_centroids", "route_profile_summary", "lag_features",
-    "error_distribution", "stream_zone_demand", "lk_filters",
+    "error_distribution", "stream_zone_demand", "stream_zone_demand_parts", "stream_hotspots", "lk_filters",
+    "lk_routes_all", "lk_profiles_route", "lk_map_flows_hour", "lk_spatial", "busiest_zone_forecast",
 ]
 
 

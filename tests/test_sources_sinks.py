@@ -45,11 +45,11 @@ def test_typed_csv(spark, tmp_path):
 
 def test_zone_lookup_round_trip(spark, tmp_path):
     path = str(tmp_path / "zones")
-    assert sinks.write_table_csv_single(zones(spark), path) is True
+    sinks.write_table_csv(zones(spark).repartition(3), path, files=1)
     assert sorted(SRC.scan_zone_lookup(spark, path).collect()) == sorted(zones(spark).collect())
     assert len(list((tmp_path / "zones").glob("part-*.csv"))) == 1
-    # beyond the bound the same call writes parts instead of squeezing rows through one task
-    assert sinks.write_table_csv_single(zones(spark).repartition(3), str(tmp_path / "many"), max_rows=2) is False
+    sinks.write_table_csv(zones(spark).repartition(3), str(tmp_path / "many"))
+    assert len(list((tmp_path / "many").glob("part-*.csv"))) > 1
     assert SRC.scan_zone_lookup(spark, str(tmp_path / "many")).count() == 5
 
 
@@ -90,7 +90,7 @@ def test_quality(spark):
 
 def test_lookup_rules(spark):
     table = spark.createDataFrame([(1, "a", 3), (2, "b", 3), (3, None, 9)], "route_rank int, route_key string, trip_count int")
-    assert lookups.clamp_limit(0, 25, 500) == 25 and lookups.clamp_limit(900, 25, 500) == 500
+    assert lookups.asked_limit(0, 25) == 25 and lookups.asked_limit(900, 25) == 900
     assert values(lookups.scoped_lookup(table, {"route_key": None}, ["-trip_count", "route_key"], 2, ["route_key"]), "route_key") == [None, "a"]
     assert values(lookups.scoped_lookup(table, {"route_key": "b"}), "route_rank") == [2]
     assert lookups.resolve("temporal_hourly", year=None)[0] == "hourly_demand"
