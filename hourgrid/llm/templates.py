@@ -2,13 +2,13 @@
 
 A line is parsed along a tree of fixed depth: its number of tokens, then its first ``LEAD``
 tokens, with tokens that hold a digit generalised to ``<*>`` at once. The leaf reached has one
-template: its line in the most documents. Lines of the leaf that agree with it in ``SIMILAR``
+template: its most frequent line. Lines of the leaf that agree with it in ``SIMILAR``
 of the token places are instances of it, whatever stands in the other places; any other line
 is a template of its own. Templates found in ``MIN_DOCS`` documents or more recur: only their
 first line stays.
 
 Counting goes over narrow rows (leaf, digest) that are summed map-side, so a line in a third
-of all documents is one row a task. Only leaves with enough documents are looked at again.
+of all documents is one row a task. Only leaves with enough lines are looked at again.
 Only built-in DataFrame functions are used.
 """
 
@@ -25,8 +25,18 @@ FIELD = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D
 
 
 def parsed(line: Column) -> Column:
-    """Tokens joined by one space, fields generalised."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, FIELD, "<*>"), "[\\x20\\x09-\\x0D]+", " "))
+    """Tokens joined by one space, fields generalised; the replacements are tried on lines that need them."""
+    general = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
+    single = F.when(line.rlike("[\\x09-\\x0D]|\\x20\\x20"), F.regexp_replace(general, "[\\x20\\x09-\\x0D]+", " ")).otherwise(general)
+    return F.trim(single)
+
+
+def with_lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``doc, row, at, norm, leaf, digest`` of every line with a token."""
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(BIG)).alias("doc"), F.col(text).cast("string").alias("text"))
+    lines = rows.select("doc", F.md5(F.col("text").cast("binary")).alias("row"), F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
+    lines = lines.filter(F.col("line").rlike("[^\\x20\\x09-\\x0D]")).select("doc", "row", "at", parsed(F.col("line")).alias("norm"))
+    return lines.select("*", leaf(F.col("norm")).alias("leaf"), F.md5(F.col("norm").cast("binary")).alias("digest"))
 
 
 def leaf(norm: Column) -> Column:
@@ -40,18 +50,15 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str
     The first line of a template is the one with the smallest id (null last), then text digest
     and line number. Lines without a token stay. A null text stays null and has no lines;
     repeated rows count as one document and lose the same lines (each
-    counts where the line of a leaf in the most documents is chosen). Input columns named like the
+    counts where the most frequent line of a leaf is chosen). Input columns named like the
     two counts are replaced.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(BIG)).alias("doc"), F.md5(F.col(text).cast("string").cast("binary")).alias("row"),
-                       F.transform(F.split(F.col(text).cast("string"), "\n", -1), parsed).alias("lines"))
-    # narrow counts: a document once for each of its different lines
-    seen = rows.select(F.explode(F.array_distinct("lines")).alias("norm")).filter("norm <> ''")
-    counted = seen.select(leaf(F.col("norm")).alias("leaf"), F.md5(F.col("norm").cast("binary")).alias("digest")).groupBy("leaf", "digest").agg(F.count("*").alias("docs"))
-    leaves = stored(counted.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.max(F.struct("docs", "digest")).alias("top"))
-                    .filter(F.col("docs") >= min_docs).select("leaf", F.col("top.digest").alias("top")), "leaves")
-    lines = rows.select("doc", "row", F.posexplode("lines").alias("at", "norm")).filter("norm <> ''")
-    lines = stored(lines.withColumn("leaf", leaf(F.col("norm"))).join(leaves, "leaf").withColumn("digest", F.md5(F.col("norm").cast("binary"))), "lines")
+    all_ = with_lines(docs, id_col, text)
+    # narrow counts: a template needs as many lines as documents
+    counted = all_.groupBy("leaf", "digest").agg(F.count("*").alias("found"))
+    leaves = stored(counted.groupBy("leaf").agg(F.sum("found").alias("found"), F.max(F.struct("found", "digest")).alias("top"))
+                    .filter(F.col("found") >= min_docs).select("leaf", F.col("top.digest").alias("top")), "leaves")
+    lines = stored(all_.join(leaves, "leaf"), "lines")
     tops = lines.filter("digest = top").groupBy("leaf").agg(F.first(F.split("norm", " ")).alias("top_tokens"))
     tokens = F.split("norm", " ")
     same = F.size(F.filter(F.zip_with(tokens, F.col("top_tokens"), lambda a, b: a == b), lambda x: x))
@@ -82,11 +89,11 @@ def op2_line_templates(spark, sf_dir: str) -> DataFrame:
 #: One common table expression after another; ``{docs}`` is the input.
 ORACLE_STEPS = """
 t_rows AS (
-  SELECT COALESCE(doc_id, 9223372036854775807) AS doc, md5(text) AS row, string_split(text, chr(10)) AS parts, row_number() OVER () AS nth FROM {docs}
+  SELECT COALESCE(doc_id, 9223372036854775807) AS doc, md5(text) AS row, string_split(text, chr(10)) AS parts FROM {docs}
 ), t_lines AS (
-  SELECT doc, row, nth, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM t_rows
+  SELECT doc, row, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM t_rows
 ), t_norm AS (
-  SELECT doc, row, nth, line_no, trim(regexp_replace(regexp_replace(line, '[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*', '<*>', 'g'),
+  SELECT doc, row, line_no, trim(regexp_replace(regexp_replace(line, '[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*', '<*>', 'g'),
          '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS norm FROM t_lines
 ), t_leaf AS (
   SELECT *, string_split(norm, ' ') AS tokens,
@@ -94,9 +101,9 @@ t_rows AS (
          md5(norm) AS digest
   FROM t_norm WHERE norm <> ''
 ), t_top AS (
-  SELECT leaf, max_by(digest, (docs, digest)) AS top, sum(docs) AS docs
-  FROM (SELECT leaf, digest, count(DISTINCT nth) AS docs FROM t_leaf GROUP BY leaf, digest) GROUP BY leaf
-  HAVING sum(docs) >= 10
+  SELECT leaf, max_by(digest, (found, digest)) AS top
+  FROM (SELECT leaf, digest, count(*) AS found FROM t_leaf GROUP BY leaf, digest) GROUP BY leaf
+  HAVING sum(found) >= 10
 ), t_tops AS (
   SELECT l.leaf, l.tokens AS top_tokens, top FROM t_top t JOIN (SELECT DISTINCT leaf, digest, tokens FROM t_leaf) l ON l.leaf = t.leaf AND l.digest = top
 ), t_found AS (
