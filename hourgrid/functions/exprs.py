@@ -151,3 +151,8 @@ def add_trip_flags(df: DataFrame) -> DataFrame:
         "duration_bucket": bucket(S.MINUTES, S.DURATION_BUCKETS),
         "fare_bucket": bucket(S.TOTAL, S.FARE_BUCKETS),
     })
+
+
+def hash_number(text: Column) -> Column:
+    """A number below 2 ** 32 from a text, the same in every engine: the first digits of its md5."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")

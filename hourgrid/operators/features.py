@@ -64,14 +64,16 @@ def top_routes(trips: DataFrame) -> DataFrame:
     return ranked.transform(S.lead_with, S.ROUTES_ORDER)
 
 
-def sample_extract(table: DataFrame, order: list[str], rows: int = 100) -> DataFrame:
-    """First rows in the stated order, doubles rounded to four digits.
+def sample_extract(table: DataFrame, order: list[str], rows: int = 100, digits: int | None = 4) -> DataFrame:
+    """First rows in the stated order, doubles rounded to ``digits`` (not at all for None).
 
     The remaining columns break ties, so the extract is repeatable.
     """
     ties = [c for c in table.columns if c not in order]
     head = table.orderBy(*order, *ties).limit(rows)
+    if digits is None:
+        return head
     return head.select(*[
-        F.round(f.name, 4).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in head.schema.fields
     ])

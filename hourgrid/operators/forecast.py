@@ -21,7 +21,11 @@ FRAME = [
     "cash_share", "lag_1_hour_trip_count", "lag_24_hour_trip_count",
     "rolling_24h_avg_trip_count", "trip_count",
 ]
-FILLED = FRAME[10:21]
+FILLED = [
+    "avg_trip_distance", "avg_trip_duration_min", "avg_fare_amount", "avg_total_amount",
+    "avg_passenger_count", "avg_speed_mph", "credit_card_share", "cash_share",
+    "lag_1_hour_trip_count", "lag_24_hour_trip_count", "rolling_24h_avg_trip_count",
+]
 NUMERIC = [
     S.PU, "year", "month", "day", "day_of_week", "is_weekend", "hour", *FILLED,
 ]
@@ -78,9 +82,13 @@ def _between(bounds: tuple[str, str]) -> Column:
 
 
 def forecast_frame(cube: DataFrame, full: tuple[str, str] = FULL) -> DataFrame:
-    """Model input: lags first, then nulls to 0 in the features, then the date filter."""
-    frame = lag_features(cube).select(*FRAME).fillna(0, FILLED)
-    return frame.where(_between(full)).orderBy("pickup_date", "hour", S.PU)
+    """Model input: lags first, then nulls to 0 in the features, then the date filter; in no order."""
+    return lag_features(cube).select(*FRAME).fillna(0, FILLED).where(_between(full))
+
+
+def published_frame(frame: DataFrame) -> DataFrame:
+    """The frame in time order, for the published table only."""
+    return frame.orderBy("pickup_date", "hour", S.PU)
 
 
 def time_split(
@@ -117,7 +125,8 @@ def train_validation_split(train: DataFrame, percent: int = VALIDATION_PERCENT,
 
     Unlike a random draw this is the same for every partitioning and on every retry.
     """
-    draw = F.pmod(F.xxhash64(F.lit(seed), S.PU, "pickup_date", "hour"), F.lit(100))
+    key = F.concat_ws("|", F.lit(str(seed)), S.PU, F.col("pickup_date").cast("string"), "hour")
+    draw = X.hash_number(key) % 100
     return train.withColumn("part", F.when(draw < percent, "validation").otherwise("fit"))
 
 
@@ -180,10 +189,34 @@ def predict_all(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
     return out
 
 
+def one_feature_model(rows: DataFrame, feature: str) -> PipelineModel:
+    """Least squares on a single column, fitted on ``rows``."""
+    stages = [
+        VectorAssembler(inputCols=[feature], outputCol="one"),
+        LinearRegression(featuresCol="one", labelCol=TARGET, predictionCol="predicted_trip_count", solver="normal"),
+    ]
+    return Pipeline(stages=stages).fit(rows)
+
+
+def best_predictions(predictions: DataFrame) -> DataFrame:
+    """Of long predictions, those of the model with the lowest RMSE over the same rows."""
+    best = model_metrics(predictions).where("is_best_model").select("model")
+    return predictions.join(best, "model", "left_semi").drop("model")
+
+
+def model_folder(folder: str, name: str) -> str:
+    return f"{folder}/{name.lower().replace(' ', '_')}_model"
+
+
+def load_models(folder: str, names: list[str] | None = None) -> dict[str, PipelineModel]:
+    """The models that ``save_models`` wrote, by name."""
+    return {name: PipelineModel.load(model_folder(folder, name)) for name in names or estimators()}
+
+
 def save_models(models: dict[str, PipelineModel], folder: str) -> None:
     """Save each fitted model below ``folder``, named after the model."""
     for name, model in models.items():
-        model.write().overwrite().save(f"{folder}/{name.lower().replace(' ', '_')}_model")
+        model.write().overwrite().save(model_folder(folder, name))
 
 
 def baseline_predictions(frame: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ class Tables:
     common stages once for a run over many tables.
     """
 
-    sources: dict[str, Callable[[], DataFrame]]  # raw, zones, area_features, zone_features
+    sources: dict[str, Callable]  # raw, zones, area_features, zone_features; models if trained
     params: Params = Params()
 
     @cached_property
@@ -114,9 +114,19 @@ class Tables:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        """Evaluation rows predicted by the rolling mean; replace it to score other models."""
+        """Evaluation rows predicted by the best of the loaded models, by the rolling mean without any."""
+        if "models" in self.sources:
+            return forecast.best_predictions(self.scored)
         return self.evaluation.withColumn("predicted_trip_count", F.col("rolling_24h_avg_trip_count"))
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Long predictions of the evaluation rows: by the models of the source ``models`` (name ->
+        fitted model), by the lag columns without it."""
+        if "models" in self.sources:
+            return forecast.predict_all(self.sources["models"](), self.evaluation)
+        return forecast.baseline_predictions(self.evaluation)
+
     def staged(self, folder: str) -> Tables:
         """Write enriched trips, cube and routes once; return tables that read them.
 
@@ -217,11 +227,11 @@ def builders() -> dict[str, Callable[[Tables], DataFrame]]:
         "zone_profile_summary": lambda t: profiles.zone_profile_summary(t.cube, t.trips),
         "route_peak_hour": lambda t: profiles.route_peak_hour(t.trips),
         "route_profile_summary": lambda t: profiles.route_profile_summary(t.trips, t.params.profiles_top),
-        "forecast_frame": lambda t: t.frame,
+        "forecast_frame": lambda t: forecast.published_frame(t.frame),
         "time_split": lambda t: t.split,
         "split_info": lambda t: forecast.split_info(t.split),
         "model_comparison": lambda t: forecast.model_metrics(forecast.baseline_predictions(t.train)),
-        "model_evaluation_metrics": lambda t: forecast.model_metrics(forecast.baseline_predictions(t.evaluation)),
+        "model_evaluation_metrics": lambda t: forecast.model_metrics(t.scored),
         **{n: (lambda t, f=f: f(t.predictions)) for n, f in forecast_tables.items()},
         "forecast_zone_hour": lambda t: forecast.forecast_zone_hour(
             forecast.forecast_predictions(t.predictions)

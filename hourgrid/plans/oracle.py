@@ -113,6 +113,10 @@ FRAME = [*PU[:3], "pickup_date", *_list("year month day day_of_week is_weekend h
          "avg_trip_distance avg_trip_duration_min avg_fare_amount avg_total_amount "
          "avg_passenger_count avg_speed_mph credit_card_share cash_share lag_1_hour_trip_count "
          "lag_24_hour_trip_count rolling_24h_avg_trip_count trip_count")]
+FILLED = _list(
+    "avg_trip_distance avg_trip_duration_min avg_fare_amount avg_total_amount avg_passenger_count avg_speed_mph "
+    "credit_card_share cash_share lag_1_hour_trip_count lag_24_hour_trip_count rolling_24h_avg_trip_count"
+)
 ERRORS = _list(
     "records actual_trip_count predicted_trip_count mean_error mae rmse mape total_absolute_error "
     "aggregate_error aggregate_absolute_error aggregate_absolute_percentage_error"
@@ -295,7 +299,7 @@ CTES: dict[str, str] = {
  avg(trip_count) OVER (PARTITION BY PULocationID ORDER BY pickup_date, hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS rolling_24h_avg_trip_count
  FROM cube WINDOW w AS (PARTITION BY PULocationID ORDER BY pickup_date, hour)""",
     "frame": "SELECT " + ", ".join(
-        f"coalesce({c}, 0) AS {c}" if 10 <= i <= 20 else c for i, c in enumerate(FRAME)
+        f"coalesce({c}, 0) AS {c}" if c in FILLED else c for c in FRAME
     ) + f" FROM lagged WHERE pickup_date BETWEEN DATE '{FULL[0]}' AND DATE '{FULL[1]}'",
     "split": f"""SELECT *, CASE WHEN pickup_date BETWEEN DATE '{TRAIN[0]}' AND DATE '{TRAIN[1]}' THEN 'train'
  WHEN pickup_date BETWEEN DATE '{EVALUATION[0]}' AND DATE '{EVALUATION[1]}' THEN 'evaluation' END AS dataset FROM frame""",
@@ -362,6 +366,19 @@ def models(part: str) -> str:
  1 - avg((trip_count - predicted) ** 2) / var_pop(trip_count) AS R2 FROM base_models WHERE dataset = '{part}' GROUP BY model)"""
 
 
+def extract(body: str, order: str) -> str:
+    """The first 100 rows."""
+    return f"SELECT * FROM ({body}) ORDER BY {order} LIMIT 100"
+
+
+CTES["contradicting"] = """SELECT * REPLACE (CASE WHEN PULocationID = 3 THEN year + 1 ELSE year END AS year,
+ CASE WHEN PULocationID = 5 THEN 13 - month ELSE month END AS month) FROM cube"""
+CTES["parted"] = """SELECT *, CASE WHEN CAST('0x' || substr(md5('42|' || PULocationID || '|' || pickup_date || '|' || hour), 1, 8) AS BIGINT) % 100 < 20
+ THEN 'validation' ELSE 'fit' END AS part FROM split WHERE dataset = 'train'"""
+CTES["line"] = """SELECT regr_slope(trip_count, rolling_24h_avg_trip_count) AS slope, regr_intercept(trip_count, rolling_24h_avg_trip_count) AS level
+ FROM parted WHERE part = 'fit'"""
+CTES["linear_predicted"] = """SELECT *, trip_count - predicted_trip_count AS prediction_error, abs(trip_count - predicted_trip_count) AS absolute_error
+ FROM (SELECT *, level + slope * rolling_24h_avg_trip_count AS predicted_trip_count FROM split, line WHERE dataset = 'evaluation')"""
 _PERIOD = """SELECT *, CASE WHEN hour <= 5 THEN 1 WHEN hour <= 10 THEN 2 WHEN hour <= 15 THEN 3 WHEN hour <= 19 THEN 4 ELSE 5 END AS time_period_order,
  CASE WHEN hour <= 5 THEN 'late_night_00_05' WHEN hour <= 10 THEN 'morning_peak_06_10' WHEN hour <= 15 THEN 'midday_11_15'
  WHEN hour <= 19 THEN 'evening_peak_16_19' ELSE 'night_20_23' END AS time_period FROM cube"""
@@ -717,6 +734,39 @@ def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
             """SELECT count(*) FILTER (year <> year(pickup_date)) AS bad_year_count, count(*) FILTER (month <> month(pickup_date)) AS bad_month_count,
  count(*) FILTER (year_month <> strftime(pickup_date, '%Y-%m')) AS bad_year_month_count FROM cube""",
             _list("bad_year_count bad_month_count bad_year_month_count")),
+        "dq_outside_years": (
+            "SELECT * FROM cube WHERE NOT year BETWEEN 1997 AND 1999",
+            _list("pickup_date year month year_month hour pickup_zone pickup_borough trip_count")),
+        "dq_unexpected_months": ("SELECT DISTINCT year_month FROM cube WHERE year_month < '1996-06' OR year_month > '2000-06'", ["year_month"]),
+        "dq_inconsistent_rows": (
+            """SELECT *, year(pickup_date) AS year_from_date, month(pickup_date) AS month_from_date, strftime(pickup_date, '%Y-%m') AS year_month_from_date
+ FROM contradicting WHERE PULocationID = 3 OR PULocationID = 5 AND month <> month(pickup_date)""",
+            _list("pickup_date year:INTEGER year_from_date:INTEGER month:INTEGER month_from_date:INTEGER year_month year_month_from_date hour pickup_zone trip_count")),
+        "dq_date_contradictions": (
+            """SELECT count(*) FILTER (PULocationID = 3) AS bad_year_count, count(*) FILTER (PULocationID = 5) AS bad_month_count,
+ 0 AS bad_year_month_count FROM cube""", _list("bad_year_count bad_month_count bad_year_month_count")),
+        "sample_fraction": (
+            f"""SELECT * FROM raw_trips WHERE CAST('0x' || substr(md5(concat_ws('|', '42', PULocationID, DOLocationID,
+ CAST(epoch(tpep_pickup_datetime) AS BIGINT), CAST(epoch(tpep_dropoff_datetime) AS BIGINT))), 1, 8) AS BIGINT) < {int(0.01 * 2**32)}""", RAW_D),
+        "train_validation_split": ("SELECT * FROM parted", [*FRAME, "part"]),
+        "linear_evaluation": (
+            """SELECT *, row_number() OVER (ORDER BY RMSE, model) = 1 AS is_best_model FROM (
+ SELECT model, avg(abs(trip_count - predicted)) AS MAE, sqrt(avg((trip_count - predicted) ** 2)) AS RMSE,
+ 1 - avg((trip_count - predicted) ** 2) / var_pop(trip_count) AS R2
+ FROM (SELECT model, trip_count, predicted FROM base_models WHERE dataset = 'evaluation'
+ UNION ALL SELECT 'linear', trip_count, predicted_trip_count FROM linear_predicted) GROUP BY model)""",
+            _list("model MAE RMSE R2 is_best_model")),
+        "linear_forecast_monthly": (
+            _MONTHLY_PREDICTED.replace("FROM predicted", "FROM linear_predicted"), _list("year_month trip_count predicted_trip_count")),
+        "linear_error_by_borough": (
+            errors("pickup_borough").replace("FROM predicted", "FROM linear_predicted"), ["pickup_borough", *ERRORS]),
+        "extract_zone_daily_features": (
+            extract(f"SELECT {', '.join(PU)}, pickup_date, {', '.join(PARTS)}, {_ROLLUP_SQL} FROM cube GROUP BY ALL",
+                    "pickup_date, pickup_borough, pickup_zone, PULocationID"), [*PU, "pickup_date", *PARTS, "trip_count", *CELL]),
+        "extract_borough_hour_features": (
+            extract(f"SELECT pickup_borough, pickup_date, {', '.join(PARTS)}, hour, {_ROLLUP_SQL} FROM cube GROUP BY ALL",
+                    "pickup_date, hour, pickup_borough"), ["pickup_borough", "pickup_date", *PARTS, "hour", "trip_count", *CELL]),
+        "extract_top_routes": (extract("SELECT * FROM routes", "route_rank, route_key"), ROUTES),
         "dq_missing_months": (
             f"""SELECT year(m) AS expected_year, month(m) AS expected_month, strftime(m, '%Y-%m') AS expected_year_month FROM (
  SELECT unnest(generate_series(DATE '{MONTHS[0]}-01', DATE '{MONTHS[1]}-01', INTERVAL 1 MONTH)) AS m)

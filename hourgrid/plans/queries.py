@@ -132,11 +132,32 @@ def feature_pipeline(t: Tables) -> DataFrame:
     return ready.select(S.PU, "pickup_date", "hour", vector_to_array("features").alias("features"))
 
 
+def contradicting(cube: DataFrame) -> DataFrame:
+    """The cube with a wrong year in the rows of one zone and a wrong month in those of another."""
+    return cube.withColumns({
+        "year": F.when(F.col(S.PU) == 3, F.col("year") + 1).otherwise(F.col("year")),
+        "month": F.when(F.col(S.PU) == 5, 13 - F.col("month")).otherwise(F.col("month")),
+    })
+
+
 def train_models(t: Tables) -> DataFrame:
     _, validation = forecast.train_models(t.train)
     return forecast.model_metrics(validation)
 
 
+def _with_linear(t: Tables) -> Tables:
+    """The tables with one trained model, least squares on the rolling mean."""
+    fit = forecast.train_validation_split(t.train).where("part = 'fit'")
+    models = {"linear": forecast.one_feature_model(fit, "rolling_24h_avg_trip_count")}
+    return Tables({**t.sources, "models": lambda: models}, t.params)
+
+
+def linear_evaluation(t: Tables) -> DataFrame:
+    """The trained model against the lag columns, on the evaluation rows."""
+    both = forecast.baseline_predictions(t.evaluation).unionByName(_with_linear(t).scored)
+    return forecast.model_metrics(both)
+
+
 # --- lookups ---------------------------------------------------------------------------------
 
 LOOKUPS: dict[str, tuple[str, dict, int | None]] = {
@@ -262,6 +283,17 @@ def _over_tables() -> dict[str, Callable[[Tables], DataFrame]]:
         "train_validation_split": lambda t: forecast.train_validation_split(t.train),
         "feature_pipeline": feature_pipeline,
         "train_models": train_models,
+        "linear_evaluation": linear_evaluation,
+        "linear_forecast_monthly": lambda t: _with_linear(t).table("forecast_monthly"),
+        "linear_error_by_borough": lambda t: _with_linear(t).table("error_by_borough"),
+        "dq_outside_years": lambda t: quality.dq_outside_years(t.cube, 1997, 1999),
+        "dq_unexpected_months": lambda t: quality.dq_unexpected_months(t.cube, "1996-06", "2000-06"),
+        "dq_inconsistent_rows": lambda t: quality.dq_inconsistent_rows(contradicting(t.cube)),
+        "dq_date_contradictions": lambda t: quality.dq_date_consistency(contradicting(t.cube)),
+        **{
+            f"extract_{name}": (lambda t, name=name: features.sample_extract(t.table(name), features.SAMPLE_ORDERS[name], digits=None))
+            for name in ("zone_daily_features", "borough_hour_features", "top_routes")
+        },
         "dq_time_range": lambda t: quality.dq_time_range(t.raw),
         "dq_month_membership": lambda t: quality.dq_month_membership(t.raw, *O.MONTH),
         "dq_rows_by_month": lambda t: quality.dq_rows_by_month(t.raw),
