@@ -127,6 +127,10 @@ class Tables:
             return forecast.predict_all(self.sources["models"](), self.evaluation)
         return forecast.baseline_predictions(self.evaluation)
 
+    def need(self, stage: str) -> DataFrame:
+        """A stage table, or an error that names the required columns it lacks."""
+        return S.require_columns(getattr(self, stage), S.STAGE_INPUTS[stage], stage)
+
     def staged(self, folder: str) -> Tables:
         """Write enriched trips, cube and routes once; return tables that read them.
 
@@ -137,7 +141,7 @@ class Tables:
         spark = self.zones.sparkSession
         staged = Tables(self.sources, self.params)
         steps = {
-            "trips": (lambda: self.trips.hint("rebalance", "year_month"), ["year_month"], S.TRIP_ORDER),
+            "trips": (self._trips_by_month, ["year_month"], S.TRIP_ORDER),
             "cube": (lambda: features.zone_hour_features(staged.trips).hint("rebalance", "year_month"), ["year_month"], S.CUBE_ORDER),
             "routes": (lambda: features.top_routes(staged.trips), [], S.ROUTES_ORDER),
         }
@@ -150,6 +154,11 @@ class Tables:
             staged.__dict__[name] = back.transform(S.lead_with, order)
         return staged
 
+    def _trips_by_month(self) -> DataFrame:
+        """Trips dealt by month while they are narrow; names and labels join after the shuffle."""
+        narrow = self.cleaned.withColumn("__month", F.date_format("pickup_ts", "yyyy-MM"))
+        return enrich.trip_enriched(narrow.hint("rebalance", "__month").drop("__month"), self.zones)
+
     def table(self, name: str) -> DataFrame:
         """An analytic table by name."""
         return builders()[name](self)
@@ -195,38 +204,38 @@ def builders() -> dict[str, Callable[[Tables], DataFrame]]:
         "trip_enriched": lambda t: t.trips,
         "zone_hour_features": lambda t: t.cube,
         "top_routes": lambda t: t.routes,
-        **{n: (lambda t, f=f: f(t.cube)) for n, f in cube_tables.items()},
-        "top_zones_by_hour": lambda t: temporal.top_zones_by_hour(t.cube, t.params.zones_top),
-        "top_zones_overall": lambda t: temporal.top_zones_overall(t.cube, t.params.zones_overall),
-        "peak_hour_summary": lambda t: temporal.peak_hour_summary(t.cube, t.params.zones_top),
-        "top_zones_by_year": lambda t: temporal.top_zones_by_year(t.cube, t.params.zones_top),
-        "zone_rank_change": lambda t: temporal.zone_rank_change(t.cube, t.params.rank_change),
-        **{n: (lambda t, n=n: business.business_table(t.flagged, n)) for n in business.TABLES},
-        "route_borough_matrix": lambda t: routes.route_borough_matrix(t.routes),
-        "top_routes_overall": lambda t: routes.top_routes_overall(t.routes, t.params.routes_top),
-        "top_inter_borough_routes": lambda t: routes.top_inter_borough_routes(t.routes, t.params.routes_top),
-        "top_airport_routes": lambda t: routes.top_airport_routes(t.routes, t.params.routes_top),
+        **{n: (lambda t, f=f: f(t.need("cube"))) for n, f in cube_tables.items()},
+        "top_zones_by_hour": lambda t: temporal.top_zones_by_hour(t.need("cube"), t.params.zones_top),
+        "top_zones_overall": lambda t: temporal.top_zones_overall(t.need("cube"), t.params.zones_overall),
+        "peak_hour_summary": lambda t: temporal.peak_hour_summary(t.need("cube"), t.params.zones_top),
+        "top_zones_by_year": lambda t: temporal.top_zones_by_year(t.need("cube"), t.params.zones_top),
+        "zone_rank_change": lambda t: temporal.zone_rank_change(t.need("cube"), t.params.rank_change),
+        **{n: (lambda t, n=n: business.business_table(t.need("flagged"), n)) for n in business.TABLES},
+        "route_borough_matrix": lambda t: routes.route_borough_matrix(t.need("routes")),
+        "top_routes_overall": lambda t: routes.top_routes_overall(t.need("routes"), t.params.routes_top),
+        "top_inter_borough_routes": lambda t: routes.top_inter_borough_routes(t.need("routes"), t.params.routes_top),
+        "top_airport_routes": lambda t: routes.top_airport_routes(t.need("routes"), t.params.routes_top),
         "route_efficiency_ranking": lambda t: routes.route_efficiency_ranking(
-            t.routes, t.params.routes_top, t.params.min_route_trips
+            t.need("routes"), t.params.routes_top, t.params.min_route_trips
         ),
         "route_tip_ranking": lambda t: routes.route_tip_ranking(
-            t.routes, t.params.routes_top, t.params.min_route_trips
+            t.need("routes"), t.params.routes_top, t.params.min_route_trips
         ),
-        "route_concentration": lambda t: routes.route_concentration(t.routes),
+        "route_concentration": lambda t: routes.route_concentration(t.need("routes")),
         "dropoff_zone_hour_features": lambda t: t.dropoffs,
-        "zone_balance_hour": lambda t: flows.zone_balance_hour(t.cube, t.dropoffs),
-        "od_flow_hour": lambda t: flows.od_flow_hour(t.trips, t.params.flows_top),
-        "od_flow_year_month": lambda t: flows.od_flow_year_month(t.trips, t.params.flows_top),
+        "zone_balance_hour": lambda t: flows.zone_balance_hour(t.need("cube"), t.dropoffs),
+        "od_flow_hour": lambda t: flows.od_flow_hour(t.need("trips"), t.params.flows_top),
+        "od_flow_year_month": lambda t: flows.od_flow_year_month(t.need("trips"), t.params.flows_top),
         "map_replay_sample": lambda t: flows.map_replay_sample(
-            t.trips, t.centroids, t.params.replay_size, t.params.replay_seed
+            t.need("trips"), t.centroids, t.params.replay_size, t.params.replay_seed
         ),
         "exterior_rings": lambda t: geo.exterior_rings(t.area_features),
         "ring_centroid": lambda t: geo.ring_centroid(geo.exterior_rings(t.area_features)),
         "zone_centroids": lambda t: geo.zone_centroids(t.area_features, t.zones),
-        "zone_top_destination": lambda t: profiles.zone_top_destination(t.trips),
-        "zone_profile_summary": lambda t: profiles.zone_profile_summary(t.cube, t.trips),
-        "route_peak_hour": lambda t: profiles.route_peak_hour(t.trips),
-        "route_profile_summary": lambda t: profiles.route_profile_summary(t.trips, t.params.profiles_top),
+        "zone_top_destination": lambda t: profiles.zone_top_destination(t.need("trips")),
+        "zone_profile_summary": lambda t: profiles.zone_profile_summary(t.need("cube"), t.need("trips")),
+        "route_peak_hour": lambda t: profiles.route_peak_hour(t.need("trips")),
+        "route_profile_summary": lambda t: profiles.route_profile_summary(t.need("trips"), t.params.profiles_top),
         "forecast_frame": lambda t: forecast.published_frame(t.frame),
         "time_split": lambda t: t.split,
         "split_info": lambda t: forecast.split_info(t.split),

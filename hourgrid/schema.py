@@ -133,6 +133,15 @@ ROUTES_ORDER = [
 ]
 
 
+#: Columns that the tables built on a stage use.
+STAGE_INPUTS = {
+    "trips": TRIP_INPUT,
+    "flagged": BUSINESS_INPUT,
+    "cube": DEMAND_INPUT,
+    "routes": ["route_rank", *ROUTE, "trip_count", "active_days", "total_revenue", "total_trip_distance", "total_trip_duration_min"],
+}
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], table: str) -> DataFrame:
     """Return ``df`` unchanged, or fail with the names that ``table`` lacks."""
     missing = [c for c in columns if c not in df.columns]
