@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hourgrid.llm import words as W
 from hourgrid.llm.frames import stored, table
-from hourgrid.llm.substring import narrow, widened
+from hourgrid.llm.packing import gaps, narrow, small, ungapped, unsmall, widened
 
 BLOCK_TOKENS = 1 << 20
 BUCKET_TOKENS = 1 << 20
@@ -39,37 +39,6 @@ ANSWER = "block long, fold int, gram int, bucket int, total binary, deleted bina
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def gaps(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys by their differences, in as many bytes as the largest needs."""
-    d = np.diff(keys, prepend=np.uint64(0))
-    d[0] = 0
-    width = max(1, (int(d.max()).bit_length() + 7) // 8)
-    return np.uint64(keys[0]).tobytes() + bytes([width]) + d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def ungapped(data: bytes) -> np.ndarray:
-    width = data[8]
-    d = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    out = np.zeros((len(d), 8), np.uint8)
-    out[:, :width] = d
-    out = out.view("<u8").ravel()
-    out[0] = np.frombuffer(data, "<u8", 1)[0]
-    return np.cumsum(out, dtype=np.uint64)
-
-
-def small(values: np.ndarray) -> bytes:
-    """Counts in a byte each; larger ones as 255 and eight bytes more."""
-    large = values >= 255
-    return np.uint32(len(values)).tobytes() + np.where(large, 255, values).astype(np.uint8).tobytes() + values[large].astype("<u8").tobytes()
-
-
-def unsmall(data: bytes) -> np.ndarray:
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    out = np.frombuffer(data, np.uint8, n, 4).astype(np.int64)
-    out[out == 255] = np.frombuffer(data, "<u8", offset=4 + n).astype(np.int64)
-    return out
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as numbered words, in blocks of one kind of fold each."""
     made = 0

@@ -2,12 +2,12 @@
 
 1. Every task counts the windows of its documents in a count-min sketch: ``DEPTH`` rows of
    cells, each window in one cell a row. A cell saturates at two, which is all that matters, so
-   a task's sketch is two bitmaps; it is sent as sorted cell numbers, coded by their gaps, and
+   a task's sketch is two bitmaps; it is sent as sorted cell numbers, about nine bits each, and
    grows with the task's windows only. Merged by ranges of cells, the sketches overestimate
    every count: cells with two or more are written to the shared folder as one bitmap.
 2. The second pass looks every window up. Windows whose estimate is one are unique for
-   certain. The rest, the truly repeated and a few others, are grouped exactly by a 128-bit
-   hash of their words. A task first groups its own, so a window sends one row per task
+   certain. The rest, the truly repeated and a few others, are grouped exactly by a 96-bit
+   hash of their words. A task first groups its own, so a window is sent once per task
    however often it occurs; all but the smallest (document, start) are repeats.
 3. The repeats of a document are joined to its text, which loses the words they cover.
 
@@ -21,11 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from hourgrid.llm import words as W
 from hourgrid.llm.files import read_bytes, write_bytes
 from hourgrid.llm.frames import row_key, table
+from hourgrid.llm.packing import gaps, narrow, packed, ungapped, unpacked, widened
 from hourgrid.session import scratch_path
 
 WINDOW = 20
@@ -34,22 +36,11 @@ CELLS_PER_WINDOW = 3
 MOST_CELLS = 1 << 30
 RANGE = 1 << 22  # cells of one row whose counts are merged by one task
 BYTES_PER_WINDOW = 6  # of text, to size sketch and buckets
-BUCKET_WINDOWS = 1 << 20
+BUCKET_WINDOWS = 4 << 20
 BIG = np.iinfo(np.int64).max
-ROWS = ["bucket", "a", "b", "docs", "place", "start", "m_doc", "m_row", "m_starts"]
-ROWS_DDL = ("bucket int, a binary, b binary, docs binary, place binary, start binary, "
-            "m_doc long, m_row long, m_starts binary")
-
-
-def narrow(values: np.ndarray) -> bytes:
-    """Numbers from zero in the smallest width that holds them; its size comes first."""
-    top = int(values.max()) if len(values) else 0
-    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
-
-
-def widened(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+ROWS_DDL = "bucket int, chunk long, a binary, b binary, ids binary, place binary, start binary, texts binary"
+ROWS = [x.split()[0] for x in ROWS_DDL.split(", ")]
+MARKS_DDL = "chunk long, place binary, start binary, texts binary"
 
 
 def cells(h: np.ndarray, depth: int, width: int) -> np.ndarray:
@@ -58,20 +49,6 @@ def cells(h: np.ndarray, depth: int, width: int) -> np.ndarray:
     return (x >> np.uint64(64 - int(width).bit_length() + 1)).astype(np.int64)
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Sorted numbers by their gaps: a byte each, larger gaps as 255 and four bytes more."""
-    gaps = np.diff(values, prepend=0)
-    large = gaps >= 255
-    return np.uint32(len(gaps)).tobytes() + np.where(large, 255, gaps).astype(np.uint8).tobytes() + gaps[large].astype("<u4").tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    gaps = np.frombuffer(data, np.uint8, n, 4).astype(np.int64)
-    gaps[gaps == 255] = np.frombuffer(data, "<u4", offset=4 + n).astype(np.int64)
-    return np.cumsum(gaps)
-
-
 def _window_hashes(chunk: pa.RecordBatch, window: int, lane: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and start of the windows of a chunk, and the word offsets of its rows."""
     data, offs = W.flat(chunk.column("text"))
@@ -94,7 +71,7 @@ def _sketch(window: int, width: int):
                     one = once[slice(*np.searchsorted(once, [part * RANGE, (part + 1) * RANGE]))] - part * RANGE
                     two = twice[slice(*np.searchsorted(twice, [part * RANGE, (part + 1) * RANGE]))] - part * RANGE
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([depth]), pa.array([part]), pa.array([packed(one)], pa.binary()), pa.array([packed(two)], pa.binary())],
+                        [pa.array([depth]), pa.array([part]), pa.array([packed(one, RANGE)], pa.binary()), pa.array([packed(two, RANGE)], pa.binary())],
                         names=["depth", "part", "once", "twice"])
 
         held, size = [], 0
@@ -146,24 +123,6 @@ def _repeated_cells(path: str, parts: list[tuple[int, int]], width: int) -> list
     return out
 
 
-def _per_document(doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[list, list, list]:
-    order = np.lexsort((start, row, doc))
-    doc, row, start = doc[order], row[order], start[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]))
-    ends = np.append(first[1:], len(doc))
-    return doc[first].tolist(), row[first].tolist(), [narrow(start[i:j]) for i, j in zip(first, ends)]
-
-
-def _marked(doc: np.ndarray, row: np.ndarray, start: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows that name repeated windows by document; their bucket only spreads them."""
-    if len(doc):
-        d, r, s = _per_document(doc, row, start)
-        none = pa.nulls(len(d), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x % buckets for x in r], pa.int32()), none, none, none, none, none,
-             pa.array(d, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.binary())], names=ROWS)
-
-
 def _later(a: np.ndarray, b: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Of windows sorted by hash, document and start: those that also start earlier."""
     head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
@@ -172,27 +131,39 @@ def _later(a: np.ndarray, b: np.ndarray, doc: np.ndarray, start: np.ndarray) ->
 
 
 def _candidates(window: int, width: int, path: str, parts: list[tuple[int, int]], buckets: int):
-    """Windows estimated repeated, packed by bucket; all but a task's first of each are marked at once."""
+    """Windows estimated repeated, packed by bucket.
+
+    A chunk is what a task looks at together; its windows name their text by its place there.
+    Of equal windows of a chunk only the first is sent to its bucket, the others are marked at
+    once, in the row that also has the chunk's texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None
+        bits, made = None, 0
 
         def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            chunk = TaskContext.get().partitionId() << 32 | made
+            made += 1
             a, b, doc, row, start = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((start, row, doc, b, a))
-            a, b, doc, row, start = a[order], b[order], doc[order], row[order], start[order]
+            texts, place = np.unique(np.stack([doc, row], 1), axis=0, return_inverse=True)
+            order = np.lexsort((start, place.ravel(), b, a))
+            a, b, place, start = a[order], b[order], place.ravel()[order], start[order]
+            doc = texts[place, 0]
             later = _later(a, b, doc, start)
-            yield from _marked(doc[later], row[later], start[later], buckets)
-            stay = np.flatnonzero(~later)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([made % buckets], pa.int32()), pa.array([chunk]), *(pa.nulls(1, pa.binary()) for _ in range(3)),
+                 *(pa.array([x], pa.binary()) for x in (narrow(place[later]), narrow(start[later]), texts.astype("<i8").tobytes()))], names=ROWS)
+            stay = np.flatnonzero(~later)  # the first, and rows that tie with it
             bucket = ((a[stay] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             for k in np.flatnonzero(np.diff(cut)):
                 at = stay[cut[k] : cut[k + 1]]
-                docs, place = np.unique(np.stack([doc[at], row[at]], 1), axis=0, return_inverse=True)
-                cols = [a[at].tobytes(), b[at].tobytes(), docs.astype("<i8").tobytes(), narrow(place.ravel()), narrow(start[at])]
+                here, short = np.unique(place[at], return_inverse=True)
+                ids = np.concatenate([here, texts[here, 0]]).astype("<i8").tobytes()
+                cols = [gaps(a[at]), b[at].astype("<u4").tobytes(), ids, narrow(short), narrow(start[at])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(k)], pa.int32()), *(pa.array([c], pa.binary()) for c in cols),
-                     pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())], names=ROWS)
+                    [pa.array([int(k)], pa.int32()), pa.array([chunk]), *(pa.array([c], pa.binary()) for c in cols), pa.nulls(1, pa.binary())], names=ROWS)
 
         held, size = [], 0
         for batch in batches:
@@ -206,7 +177,7 @@ def _candidates(window: int, width: int, path: str, parts: list[tuple[int, int]]
                     may &= (bits[depth][c >> 3] >> (7 - (c & 7)).astype(np.uint8) & 1).astype(bool)
                 if not may.any():
                     continue
-                second = _window_hashes(chunk, window, 1)[0][may]
+                second = _window_hashes(chunk, window, 1)[0][may] & np.uint64(0xFFFFFFFF)
                 at, h = at[may], h[may]
                 rows = np.searchsorted(wo, at, "right") - 1
                 ids = chunk.column("doc_id").to_numpy(zero_copy_only=False)
@@ -222,35 +193,67 @@ def _candidates(window: int, width: int, path: str, parts: list[tuple[int, int]]
 
 
 def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact groups: of the windows of a bucket, those that are not the smallest (document, start)."""
+    """Exact groups: of the windows of a bucket, those that are not the smallest (document, start), by chunk."""
     at, held = None, []
 
-    def out(d: list, r: list, s: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.binary())],
-                                          names=["m_doc", "m_row", "m_starts"])
-
     def close() -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        a, b, doc, row, start = (np.concatenate(x) for x in zip(*held))
+        a, b, doc, start, place, chunk = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((start, doc, b, a))
-        a, b, doc, row, start = a[order], b[order], doc[order], row[order], start[order]
-        later = _later(a, b, doc, start)
-        if later.any():
-            yield out(*_per_document(doc[later], row[later], start[later]))
+        later = order[_later(a[order], b[order], doc[order], start[order])]
+        place, start, chunk = place[later], start[later], chunk[later]
+        order = np.argsort(chunk, kind="stable")
+        place, start, chunk = place[order], start[order], chunk[order]
+        names, first = np.unique(chunk, return_index=True)
+        cut = np.append(first, len(chunk)).tolist()
+        if len(names):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array([narrow(place[i:j]) for i, j in zip(cut, cut[1:])], pa.binary()),
+                 pa.array([narrow(start[i:j]) for i, j in zip(cut, cut[1:])], pa.binary()), pa.nulls(len(names), pa.binary())],
+                names=["chunk", "place", "start", "texts"])
 
     for batch in batches:
-        marked = batch.filter(batch.column("m_doc").is_valid())
-        if marked.num_rows:
-            yield marked.select(["m_doc", "m_row", "m_starts"])
-        for bucket, a, b, docs, place, start in zip(*(batch.column(c).to_pylist() for c in ROWS[:6])):
+        named = batch.filter(batch.column("texts").is_valid())
+        if named.num_rows:
+            yield named.select(["chunk", "place", "start", "texts"])
+        for bucket, chunk, a, b, ids, place, start in zip(*(batch.column(c).to_pylist() for c in ROWS[:7])):
             if a is None:
                 continue
             if bucket != at:
                 yield from close()
                 at, held = bucket, []
-            ids = np.frombuffer(docs, "<i8").reshape(-1, 2)[widened(place)]
-            held.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), ids[:, 0], ids[:, 1], widened(start)))
+            here = np.frombuffer(ids, "<i8").reshape(2, -1)
+            short = widened(place)
+            held.append((ungapped(a), np.frombuffer(b, "<u4"), here[1][short], widened(start), here[0][short], np.full(len(short), chunk)))
+    yield from close()
+
+
+def by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one chunk at a time: the marked starts of each of its texts."""
+    at, texts, places, starts = None, None, [], []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if not places:
+            return
+        place, start = np.concatenate(places), np.concatenate(starts)
+        order = np.argsort(place, kind="stable")
+        place, start = place[order], start[order]
+        names, first = np.unique(place, return_index=True)
+        cut = np.append(first, len(place)).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(texts[names, 0]), pa.array(texts[names, 1]), pa.array([narrow(start[i:j]) for i, j in zip(cut, cut[1:])], pa.binary())],
+            names=["m_doc", "m_row", "m_starts"])
+
+    for batch in batches:
+        for chunk, place, start, named in zip(*(batch.column(c).to_pylist() for c in ("chunk", "place", "start", "texts"))):
+            if chunk != at:
+                yield from close()
+                at, texts, places, starts = chunk, None, [], []
+            if named is not None:
+                texts = np.frombuffer(named, "<i8").reshape(-1, 2)
+            places.append(widened(place))
+            starts.append(widened(start))
     yield from close()
 
 
@@ -287,9 +290,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     sketch = rows.mapInArrow(_sketch(window, width), "depth long, part long, once binary, twice binary")
     merged = sketch.repartition("depth", "part").sortWithinPartitions("depth", "part").mapInArrow(_merge(path), "depth long, part long, cells long")
     parts = [(r.depth, r.part) for r in merged.collect()]  # MOST_CELLS / RANGE * DEPTH numbers at most
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), expected // BUCKET_WINDOWS)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), expected // BUCKET_WINDOWS)
     found = keyed.mapInArrow(_candidates(window, width, path, parts, buckets), ROWS_DDL)
-    marks = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_group, "m_doc long, m_row long, m_starts binary")
+    marks = found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_group, MARKS_DDL)
+    marks = marks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(by_text, "m_doc long, m_row long, m_starts binary")
     marks = marks.groupBy("m_doc", "m_row").agg(F.collect_list("m_starts").alias("marks"))
     joined = keyed.join(marks, (F.col("doc_id") == F.col("m_doc")) & (F.col("row") == F.col("m_row")), "left")
     ids = F.when(F.col("doc_id") < BIG, F.col("doc_id")).alias("doc_id")

@@ -23,19 +23,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from hourgrid.llm import words as W
 from hourgrid.llm.frames import row_key, stored, table
-from hourgrid.llm.substring import BIG, narrow, widened
+from hourgrid.llm.packing import gaps, narrow, ungapped, widened
+from hourgrid.llm.substring import BIG, MARKS_DDL, by_text
 
 LENGTH = 400
 REACH = 192
 PERIOD_BITS = 5
 BUCKET_BYTES = 32 << 20
-ROWS = ["bucket", "a", "b", "multi", "docs", "place", "start", "m_doc", "m_row", "m_starts"]
-ROWS_DDL = ("bucket int, a binary, b binary, multi binary, docs binary, place binary, start binary, "
-            "m_doc long, m_row long, m_starts binary")
+ROWS_DDL = "bucket int, chunk long, a binary, b binary, multi binary, place binary, start binary, texts binary"
+ROWS = [x.split()[0] for x in ROWS_DDL.split(", ")]
 #: Marks of a run: repeated as a whole; to be looked at window by window; both, for others to find.
 FULL, PARTIAL, SEED = 0, 1, 2
 KINDS = 3
@@ -84,37 +85,30 @@ def run_keys(data: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarra
     return W.hash_words(data, anchor, shared), W.pair(W.pair(left, right), split)
 
 
-def _per_document(doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[list, list, list]:
-    order = np.lexsort((start, row, doc))
-    doc, row, start = doc[order], row[order], start[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]))
-    ends = np.append(first[1:], len(doc))
-    return doc[first].tolist(), row[first].tolist(), [narrow(start[i:j]) for i, j in zip(first, ends)]
+def _packed(held: list[tuple], buckets: int, made: int) -> Iterator[pa.RecordBatch]:
+    """A chunk's keys by bucket, one entry for equal keys; what is found twice here is marked at once.
 
-
-def _packed(held: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
-    """A task's keys by bucket, one row for equal keys; what is found twice here is marked at once."""
+    Keys name their text by its place in the chunk; one row more has the texts and those marks.
+    """
+    chunk = TaskContext.get().partitionId() << 32 | made
     a, b, doc, row, start = (np.concatenate(x) for x in zip(*held))
+    texts, place = np.unique(np.stack([doc, row], 1), axis=0, return_inverse=True)
     order = np.lexsort((b, a))
-    a, b, doc, row, start = a[order], b[order], doc[order], row[order], start[order]
+    a, b, place, start = a[order], b[order], place.ravel()[order], start[order]
     head = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     first = np.flatnonzero(head)
     multi = np.diff(np.append(first, len(a))) > 1
     rest = np.flatnonzero(~head)
-    if len(rest):
-        d, r, s = _per_document(doc[rest], row[rest], start[rest] * KINDS + FULL)
-        none = pa.nulls(len(d), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([x % buckets for x in r], pa.int32()), none, none, none, none, none, none,
-                                          pa.array(d, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.binary())], names=ROWS)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([made % buckets], pa.int32()), pa.array([chunk]), *(pa.nulls(1, pa.binary()) for _ in range(3)),
+         *(pa.array([x], pa.binary()) for x in (narrow(place[rest]), narrow(start[rest] * KINDS + FULL), texts.astype("<i8").tobytes()))], names=ROWS)
     bucket = ((a[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     cut = np.searchsorted(bucket, np.arange(buckets + 1))
     for k in np.flatnonzero(np.diff(cut)):
         at, m = first[cut[k] : cut[k + 1]], multi[cut[k] : cut[k + 1]]
-        docs, place = np.unique(np.stack([doc[at], row[at]], 1), axis=0, return_inverse=True)
-        cols = [a[at].tobytes(), b[at].tobytes(), np.packbits(m).tobytes(), docs.astype("<i8").tobytes(), narrow(place.ravel()), narrow(start[at])]
+        cols = [gaps(a[at]), b[at].tobytes(), np.packbits(m).tobytes(), narrow(place[at]), narrow(start[at])]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(k)], pa.int32()), *(pa.array([c], pa.binary()) for c in cols),
-             pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())], names=ROWS)
+            [pa.array([int(k)], pa.int32()), pa.array([chunk]), *(pa.array([c], pa.binary()) for c in cols), pa.nulls(1, pa.binary())], names=ROWS)
 
 
 def _grouped(runs: bool):
@@ -127,9 +121,9 @@ def _grouped(runs: bool):
     def close(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        a, b, multi, doc, row, start = (np.concatenate(x) for x in zip(*held))
+        a, b, multi, place, start, chunk = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((b, a))
-        a, b, multi, doc, row, start = a[order], b[order], multi[order], doc[order], row[order], start[order]
+        a, b, multi = a[order], b[order], multi[order]
         new_a = np.concatenate([[True], a[1:] != a[:-1]])
         new = new_a | np.concatenate([[True], b[1:] != b[:-1]])
         of, of_a = np.cumsum(new) - 1, np.cumsum(new_a) - 1
@@ -142,26 +136,33 @@ def _grouped(runs: bool):
             beside = (np.bincount(of_a, partial) > 0)[of_a]
             kind[partial] = PARTIAL
             kind[full & beside & new] = SEED
-        if some.any():
-            d, r, s = _per_document(doc[some], row[some], (start * KINDS + kind)[some])
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.binary())], names=ROWS[-3:])
+        order, kind = order[some], kind[some]
+        by_chunk = np.argsort(chunk[order], kind="stable")
+        order, kind = order[by_chunk], kind[by_chunk]
+        place, start, chunk = place[order], start[order] * KINDS + kind, chunk[order]
+        names, first = np.unique(chunk, return_index=True)
+        cut = np.append(first, len(chunk)).tolist()
+        if len(names):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array([narrow(place[i:j]) for i, j in zip(cut, cut[1:])], pa.binary()),
+                 pa.array([narrow(start[i:j]) for i, j in zip(cut, cut[1:])], pa.binary()), pa.nulls(len(names), pa.binary())],
+                names=["chunk", "place", "start", "texts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            marked = batch.filter(batch.column("m_doc").is_valid())
-            if marked.num_rows:
-                yield marked.select(ROWS[-3:])
-            for bucket, a, b, multi, docs, place, start in zip(*(batch.column(c).to_pylist() for c in ROWS[:7])):
+            named = batch.filter(batch.column("texts").is_valid())
+            if named.num_rows:
+                yield named.select(["chunk", "place", "start", "texts"])
+            for bucket, chunk, a, b, multi, place, start in zip(*(batch.column(c).to_pylist() for c in ROWS[:7])):
                 if a is None:
                     continue
                 if bucket != at:
                     yield from close(held)
                     at, held = bucket, []
-                ids = np.frombuffer(docs, "<i8").reshape(-1, 2)[widened(place)]
-                a = np.frombuffer(a, np.uint64)
+                a = ungapped(a)
                 twice = np.unpackbits(np.frombuffer(multi, np.uint8), count=len(a))
-                held.append((a, np.frombuffer(b, np.uint64), twice, ids[:, 0], ids[:, 1], widened(start)))
+                held.append((a, np.frombuffer(b, np.uint64), twice, widened(place), widened(start), np.full(len(a), chunk)))
         yield from close(held)
 
     return run
@@ -171,7 +172,7 @@ def _keys(buckets: int, most: int = 1_000_000):
     """The runs of all texts, packed; a run is named by its number in the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, made = [], 0, 0
         for batch in batches:
             for chunk in W.text_chunks(batch, "text"):
                 data, offs = W.flat(chunk.column("text"))
@@ -184,10 +185,10 @@ def _keys(buckets: int, most: int = 1_000_000):
                 held.append((a, b, _column(chunk, "doc_id")[rows], _column(chunk, "row")[rows], number))
                 size += len(lo)
                 if size > most:
-                    yield from _packed(held, buckets)
-                    held, size = [], 0
+                    yield from _packed(held, buckets, made)
+                    held, size, made = [], 0, made + 1
         if size:
-            yield from _packed(held, buckets)
+            yield from _packed(held, buckets, made)
 
     return run
 
@@ -210,7 +211,7 @@ def _window_keys(buckets: int, most: int = 1_000_000):
     """The single windows of the runs marked PARTIAL or SEED."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, made = [], 0, 0
         for batch in batches:
             for chunk in W.text_chunks(batch, "text"):
                 data, offs, runs, kind = _marked_runs(chunk)
@@ -225,10 +226,10 @@ def _window_keys(buckets: int, most: int = 1_000_000):
                     held.append((a, b, _column(chunk, "doc_id")[rows], _column(chunk, "row")[rows], s - offs[rows]))
                     size += len(s)
                     if size > most:
-                        yield from _packed(held, buckets)
-                        held, size = [], 0
+                        yield from _packed(held, buckets, made)
+                        held, size, made = [], 0, made + 1
         if size:
-            yield from _packed(held, buckets)
+            yield from _packed(held, buckets, made)
 
     return run
 
@@ -262,11 +263,11 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     keyed = texts.withColumns({"row": row_key("doc_id", "text"), "doc_id": F.coalesce("doc_id", F.lit(BIG))})
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
-    marks_ddl = "m_doc long, m_row long, m_starts binary"
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
 
     def grouped(rows: DataFrame, runs: bool, name: str) -> DataFrame:
-        marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped(runs), marks_ddl)
+        marks = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped(runs), MARKS_DDL)
+        marks = marks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(by_text, "m_doc long, m_row long, m_starts binary")
         marks = marks.groupBy("m_doc", "m_row").agg(F.collect_list("m_starts").alias(name))
         return stored(marks.select(F.col("m_doc").alias("doc_id"), F.col("m_row").alias("row"), name), f"suffix-{name}")
 

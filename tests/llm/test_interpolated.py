@@ -45,14 +45,6 @@ def test_counts_base_and_scores(spark, monkeypatch):
     assert len(only) == 1 and np.isfinite(only[0].score)
 
 
-def test_packing():
-    for keys in ([0], [5, 6, 2**40, 2**63, 2**64 - 1], [2**64 - 1]):
-        keys = np.array(keys, np.uint64)
-        assert interpolated.ungapped(interpolated.gaps(keys)).tolist() == keys.tolist()
-    counts = np.array([0, 1, 254, 255, 2**40])
-    assert interpolated.unsmall(interpolated.small(counts)).tolist() == counts.tolist()
-
-
 def test_em_finds_the_mixture():
     cells = pd.DataFrame({"pair": [-8, -24], "word": [-40, -8], "n": [70, 30]})
     a, g, u = interpolated.maximise(cells, 1e-6)

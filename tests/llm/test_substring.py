@@ -1,8 +1,6 @@
 import hashlib
 import random
 
-import numpy as np
-
 from hourgrid.llm import substring
 from hourgrid.llm.frames import ready
 from tests.llm import brute
@@ -29,12 +27,6 @@ def test_against_plain_python(spark):
     assert substring.remove_repeats(df.limit(0)).count() == 0
 
 
-def test_packing():
-    for values in ([], [0], [3, 3 + 254, 3 + 254 + 255, 100_000, 4_000_000]):
-        values = np.array(values, np.int64)
-        assert substring.unpacked(substring.packed(values)).tolist() == values.tolist()
-
-
 def test_query(spark, small_dir):
     got = sorted((tuple(r) for r in substring.op4_remove_repeated_windows(ready(spark), small_dir).collect()), key=str)
     data = [tuple(r) for r in spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").collect()]
