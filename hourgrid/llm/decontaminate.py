@@ -215,4 +215,4 @@ def op7_decontaminate(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "longest_match", "longest_at", "longest_item")
+        (F.col("n_hit") > 0).alias("contaminated"))

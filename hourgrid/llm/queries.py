@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, quality, substring, suffix, templates, warc
+from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, oracle, quality, substring, suffix, templates, warc
 from hourgrid.llm.frames import query
 
 QUERIES = [
@@ -25,4 +25,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_templates": templates.ORACLE, "op3_mix_sources": mixing.ORACLE}
+    return dict(oracle.SQL)

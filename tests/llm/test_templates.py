@@ -1,8 +1,6 @@
 import random
 import re
 
-import duckdb
-
 from hourgrid.llm import templates
 from hourgrid.llm.frames import ready
 
@@ -69,10 +67,3 @@ def test_against_plain_python(spark):
     assert sum(r.n_dropped for r in got) > 30
     assert templates.drop_recurring_lines(df.limit(0)).count() == 0
 
-
-def test_oracle(spark, small_dir):
-    got = sorted(map(tuple, templates.op2_line_templates(ready(spark), small_dir).collect()))
-    db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{small_dir}/documents.parquet')")
-    assert got == sorted(db.execute(templates.ORACLE).fetchall())
-    assert sum(r[2] for r in got) > 0
