@@ -181,18 +181,20 @@ def top_zones_by_year(cube: DataFrame, top_n: int | None = 10) -> DataFrame:
 def zone_rank_change(cube: DataFrame, rank_change_n: int = 50) -> DataFrame:
     """Rank of each zone in the first and in the last year present, side by side.
 
-    Both years are edges of one grouped pass over the ranked table; a zone present at only
-    one edge keeps nulls at the other, as a full outer join would give.
+    Only these two years are summed and ranked. Both are edges of one grouped pass over the
+    ranked table; a zone present at only one edge keeps nulls at the other, as a full outer
+    join would give.
     """
-    ranked = dense_rank_all(
-        aggregate_demand(cube, ["year", *_ZONE]), list(_RANK), "zone_rank",
-        within=("year",), tie=(S.PU,),
-    )
-    bounds = ranked.agg(F.min("year").alias("first"), F.max("year").alias("last"))
+    bounds = cube.agg(F.min("year").alias("first"), F.max("year").alias("last"))
     edges = bounds.select(F.explode(F.array(
         F.struct(F.col("first").alias("year"), F.lit("first").alias("edge")),
         F.struct(F.col("last").alias("year"), F.lit("last").alias("edge")),
     )).alias("e")).select("e.*")
+    at_ends = cube.join(edges.select("year").distinct(), "year", "left_semi")
+    ranked = dense_rank_all(
+        aggregate_demand(at_ends, ["year", *_ZONE]), list(_RANK), "zone_rank",
+        within=("year",), tie=(S.PU,),
+    )
     at_edge = ranked.join(edges, "year")
 
     def pick(edge: str, source: str):
