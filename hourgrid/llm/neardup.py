@@ -6,13 +6,13 @@
 2. Inverted lists: three retained values that follow each other in a sketch are one list key,
    with a mark at either end. If two sets of Jaccard 0.75 or more are wholly retained, they
    share such a key for certain; beyond that they miss it with probability 0.75 ** SKETCH
-   (1e-8) at 0.75 exactly and far less above. Keys of three values keep a frequent passage
+   (1e-10) at 0.75 exactly and far less above. Keys of three values keep a frequent passage
    from pulling all its documents into one list.
 3. Candidates of a list are first its smallest class against all others (a star). Survivors of
    the union-sketch estimate are verified on the full sets, and components are taken. Only
    lists that then still span several components give their cross-component pairs, which go
-   the same way. Thus every pair that shares a key is either verified or already connected;
-   a large group of near copies costs a star, not a square.
+   the same way; long ones, of a frequent passage, are first split by a second common key.
+   A large group of near copies costs a star, not a square.
 """
 
 from __future__ import annotations
@@ -28,9 +28,12 @@ from hourgrid.llm.components import components
 from hourgrid.llm.frames import row_key, stored, table
 
 SHINGLE = 5
-SKETCH = 64
-#: The estimate from SKETCH values has a deviation of 0.054 at 0.75; a link below 0.40 is a chance of 1e-9.
+SKETCH = 80
+#: The estimate from SKETCH values has a deviation of 0.048 at 0.75; a link below 0.40 is a chance of 1e-11.
 ESTIMATE = 0.40
+#: Lists up to this length are compared pair by pair.
+SHORT = 32
+TWICE = 16
 
 
 def shingle_sets(col: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -130,6 +133,36 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, label: str) -
     return stored(done.select(F.col("a").alias("u"), F.col("b").alias("v")), f"{label}-links")
 
 
+def _spread(lists: DataFrame) -> DataFrame:
+    """Of ``key, c, n, root`` the lists that span several components, with their length ``m``."""
+    wide = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo <> hi")
+    return lists.join(wide.select("key", "m"), "key")
+
+
+def _pairs_within(lists: DataFrame, fits) -> DataFrame:
+    other = lists.select("key", *[F.col(x).alias(f"{x}_") for x in ("c", "n", "root")])
+    pairs = lists.join(other, "key").filter((F.col("c") < F.col("c_")) & (F.col("root") != F.col("root_")) & fits(F.col("n"), F.col("n_")))
+    return pairs.select(F.col("c").alias("a"), F.col("c_").alias("b"))
+
+
+def _crossing(lists: DataFrame, label: DataFrame, fits) -> DataFrame:
+    """Pairs that share a list but no component; the list's head has been compared with all.
+
+    Lists of ``SHORT`` classes and less give their pairs. Of a union of ``TWICE`` shingles and
+    more, a link meets in two lists at least (for certain if both sets are wholly retained, but
+    for a chance like that of sharing none otherwise), so the longer lists are dealt anew by
+    every two of them that a class is in; smaller sets are compared within the list.
+    """
+    open_ = lists.filter((F.col("m") > 2) & (F.col("c") != F.col("a"))).select("key", "c", "n").join(
+        label.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    open_ = stored(_spread(open_), "open")
+    long_ = open_.filter(F.col("m") > SHORT).groupBy("c", "n", "root").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    long_ = long_.select("c", "n", "root", F.posexplode("keys").alias("at", "one"), "keys")
+    two = long_.select("c", "n", "root", "one", F.explode(F.slice("keys", F.col("at") + 2, SKETCH)).alias("two"))
+    two = stored(_spread(two.select(F.xxhash64("one", "two").alias("key"), "c", "n", "root")), "open-two")
+    return _pairs_within(open_.filter((F.col("m") <= SHORT) | (F.col("n") < TWICE)), fits).union(_pairs_within(two, fits)).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, row, n_shingles, component_id, kept`` for every row of ``docs``; ``row`` is its ``row_key``.
 
@@ -155,14 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     texts = texts.select("row", "text")
     links = _links(star, classes, texts, "star")
     label = components(links)
-    # what still crosses components within a list; its head has been compared with all
-    open_ = lists.filter((F.col("m") > 2) & (F.col("c") != F.col("a"))).select("key", "c", "n").join(
-        label.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    spread = open_.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    open_ = stored(open_.join(spread, "key"), "open")
-    other = open_.select("key", *[F.col(x).alias(f"{x}_") for x in ("c", "n", "root")])
-    cross = open_.join(other, "key").filter((F.col("c") < F.col("c_")) & (F.col("root") != F.col("root_")) & fits(F.col("n"), F.col("n_")))
-    more = _links(cross.select(F.col("c").alias("a"), F.col("c_").alias("b")).distinct(), classes, texts, "cross")
+    more = _links(_crossing(lists, label, fits), classes, texts, "cross")
     label = components(links.union(more))
     named = classes.select("sig_a", "sig_b", F.col("n"), "c", "least").join(
         label.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
