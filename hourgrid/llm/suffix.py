@@ -10,7 +10,7 @@ split, and so is the string behind the trigger that all its windows share.
 Parse order. Runs are grouped by the shared string, then by the whole string. A run whose
 shared string is found once has no repeated window: that settles nearly all text. A run found
 twice as a whole is repeated as a whole. What is left, the ends of matches, gives its windows
-one by one, which are grouped by a 128-bit hash of their bytes.
+one by one, which are grouped by a 96-bit hash of their bytes. Texts travel compressed.
 
 A task groups its own rows first, so a string sends one row per task however often it occurs.
 All keys are spread by hash. (A suffix order of the whole corpus would need every suffix that
@@ -40,6 +40,7 @@ ROWS = [x.split()[0] for x in ROWS_DDL.split(", ")]
 #: Marks of a run: repeated as a whole; to be looked at window by window; both, for others to find.
 FULL, PARTIAL, SEED = 0, 1, 2
 KINDS = 3
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def parse(data: np.ndarray, offs: np.ndarray, length: int = LENGTH, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +83,7 @@ def run_keys(data: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarra
     left = W.hash_words(data, lo, anchor, 1)
     right = W.hash_words(data, shared, hi + LENGTH, 1)
     split = ((anchor - lo) << 16 | (anchor - hi)).astype(np.uint64)
-    return W.hash_words(data, anchor, shared), W.pair(W.pair(left, right), split)
+    return W.hash_words(data, anchor, shared), W.pair(W.pair(left, right), split) & LOW
 
 
 def _packed(held: list[tuple], buckets: int, made: int) -> Iterator[pa.RecordBatch]:
@@ -106,7 +107,7 @@ def _packed(held: list[tuple], buckets: int, made: int) -> Iterator[pa.RecordBat
     cut = np.searchsorted(bucket, np.arange(buckets + 1))
     for k in np.flatnonzero(np.diff(cut)):
         at, m = first[cut[k] : cut[k + 1]], multi[cut[k] : cut[k + 1]]
-        cols = [gaps(a[at]), b[at].tobytes(), np.packbits(m).tobytes(), narrow(place[at]), narrow(start[at])]
+        cols = [gaps(a[at]), b[at].astype("<u4").tobytes(), np.packbits(m).tobytes(), narrow(place[at]), narrow(start[at])]
         yield pa.RecordBatch.from_arrays(
             [pa.array([int(k)], pa.int32()), pa.array([chunk]), *(pa.array([c], pa.binary()) for c in cols), pa.nulls(1, pa.binary())], names=ROWS)
 
@@ -162,7 +163,7 @@ def _grouped(runs: bool):
                     at, held = bucket, []
                 a = ungapped(a)
                 twice = np.unpackbits(np.frombuffer(multi, np.uint8), count=len(a))
-                held.append((a, np.frombuffer(b, np.uint64), twice, widened(place), widened(start), np.full(len(a), chunk)))
+                held.append((a, np.frombuffer(b, "<u4"), twice, widened(place), widened(start), np.full(len(a), chunk)))
         yield from close(held)
 
     return run
@@ -197,9 +198,26 @@ def _column(chunk: pa.RecordBatch, name: str) -> np.ndarray:
     return chunk.column(name).to_numpy(zero_copy_only=False)
 
 
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec = pa.Codec("zstd", 1)
+    for batch in batches:
+        for chunk in W.text_chunks(batch, "text"):
+            data, offs = W.flat(chunk.column("text"))
+            whole = data.tobytes()
+            rows = [np.uint32(j - i).tobytes() + codec.compress(whole[i:j], asbytes=True) for i, j in zip(offs[:-1], offs[1:])]
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("row"), pa.array(rows, pa.binary())], names=["doc_id", "row", "packed"])
+
+
+def plain(packed: pa.Array) -> pa.Array:
+    """The texts of ``_packed_texts``, as bytes."""
+    codec = pa.Codec("zstd")
+    return pa.array([codec.decompress(p[4:], int(np.frombuffer(p, "<u4", 1)[0]), asbytes=True) if p[:4] != b"\0\0\0\0" else b""
+                     for p in packed.to_pylist()], pa.binary())
+
+
 def _marked_runs(chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, row offsets, the marked runs as (first, last) window starts, and their marks."""
-    data, offs = W.flat(chunk.column("text"))
+    data, offs = W.flat(plain(chunk.column("packed")))
     _, lo, hi = parse(data, offs)
     base = np.searchsorted(lo, offs)
     marks = [widened(m) + KINDS * base[i] for i, held in enumerate(chunk.column("marks").to_pylist()) for m in held or ()]
@@ -213,7 +231,7 @@ def _window_keys(buckets: int, most: int = 1_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, made = [], 0, 0
         for batch in batches:
-            for chunk in W.text_chunks(batch, "text"):
+            for chunk in W.text_chunks(batch, "packed", W.CHUNK_BYTES // 2):
                 data, offs, runs, kind = _marked_runs(chunk)
                 runs = runs[kind != FULL]
                 for runs in np.array_split(runs, max(1, len(runs) // 20_000)):
@@ -221,7 +239,7 @@ def _window_keys(buckets: int, most: int = 1_000_000):
                     if not len(count):
                         continue
                     s = np.repeat(runs[:, 0] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                    a, b = (W.hash_words(data, s, s + LENGTH, lane) for lane in (0, 1))
+                    a, b = W.hash_words(data, s, s + LENGTH), W.hash_words(data, s, s + LENGTH, 1) & LOW
                     rows = np.searchsorted(offs, s, "right") - 1
                     held.append((a, b, _column(chunk, "doc_id")[rows], _column(chunk, "row")[rows], s - offs[rows]))
                     size += len(s)
@@ -236,7 +254,7 @@ def _window_keys(buckets: int, most: int = 1_000_000):
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for chunk in W.text_chunks(batch, "text"):
+        for chunk in W.text_chunks(batch, "packed", W.CHUNK_BYTES // 2):
             data, offs, runs, kind = _marked_runs(chunk)
             runs = runs[kind != PARTIAL]
             single = [widened(m) // KINDS + offs[i] for i, held in enumerate(chunk.column("windows").to_pylist()) for m in held or ()]
@@ -272,11 +290,12 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "
         return stored(marks.select(F.col("m_doc").alias("doc_id"), F.col("m_row").alias("row"), name), f"suffix-{name}")
 
     runs = grouped(keyed.mapInArrow(_keys(buckets), ROWS_DDL), True, "marks")
-    ends = keyed.join(runs, ["doc_id", "row"])
-    windows = grouped(ends.select("doc_id", "row", "text", "marks").mapInArrow(_window_keys(buckets), ROWS_DDL), False, "windows")
-    joined = keyed.join(runs, ["doc_id", "row"], "left").join(windows, ["doc_id", "row"], "left")
+    packed = keyed.mapInArrow(_packed_texts, "doc_id long, row long, packed binary")
+    ends = packed.join(runs, ["doc_id", "row"])
+    windows = grouped(ends.select("doc_id", "row", "packed", "marks").mapInArrow(_window_keys(buckets), ROWS_DDL), False, "windows")
+    joined = packed.join(runs, ["doc_id", "row"], "left").join(windows, ["doc_id", "row"], "left")
     ids = F.when(F.col("doc_id") < BIG, F.col("doc_id")).alias("doc_id")
-    return joined.select(ids, "text", "marks", "windows").mapInArrow(
+    return joined.select(ids, "packed", "marks", "windows").mapInArrow(
         _without, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 

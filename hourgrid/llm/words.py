@@ -33,7 +33,7 @@ def text_chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) ->
     col = batch.column(column)
     if not len(col):
         return
-    width = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    width = np.int64 if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else np.int32
     offs = np.frombuffer(col.buffers()[1], width)[col.offset : col.offset + len(col) + 1]
     at = 0
     while at < len(col):
@@ -44,7 +44,7 @@ def text_chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) ->
 
 
 def flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the row offsets into them; a null row is empty."""
+    """All bytes of a string or binary column and the row offsets into them; a null row is empty."""
     if col.null_count:
         col = col.fill_null("")
     if not len(col):
