@@ -1,10 +1,11 @@
 """Line dedup with a log-template tree.
 
 A line is parsed along a tree of fixed depth: its number of tokens, then its first ``LEAD``
-tokens, with tokens that hold a digit generalised to ``<*>`` at once. The leaf reached has one
-template: its most frequent line. Lines of the leaf that agree with it in ``SIMILAR``
-of the token places are instances of it, whatever stands in the other places; any other line
-is a template of its own. Templates found in ``MIN_DOCS`` documents or more recur: only their
+tokens, with tokens that hold a digit generalised to ``<*>`` at once. The first template of the
+leaf reached is its most frequent line. Lines of the leaf that agree with it in ``SIMILAR_PCT``
+of the token places are instances of it, whatever stands in the other places. What is not in a
+recurring template then goes through ``further``, level by level, where a leaf gets as many
+templates as recur. Templates found in ``MIN_DOCS`` documents or more recur: only their
 first line stays.
 
 Counting goes over narrow rows (leaf, digest) that are summed map-side, so a line in a third
@@ -44,6 +45,73 @@ def leaf(norm: Column) -> Column:
     return F.concat_ws(" ", tokens.cast("string"), F.substring_index(norm, " ", LEAD))
 
 
+def _misses(tokens: Column) -> Column:
+    """Token places of a line in which an instance of its template may differ; ``tokens`` are those behind the lead."""
+    return F.floor((F.size(tokens) + LEAD) * (100 - SIMILAR_PCT) / F.lit(100)).cast("int")
+
+
+def _bands(df: DataFrame, *ids: str) -> DataFrame:
+    """Runs of ``tokens``, more of them than places may differ: what is alike has one in common."""
+    width = F.floor(F.size("tokens") / (_misses(F.col("tokens")) + 1)).cast("int")
+    runs = F.sequence(F.lit(0), F.floor(F.size("tokens") / width).cast("int") - 1)
+    return df.select("leaf", *ids, F.posexplode(F.transform(runs, lambda k: F.array_join(F.slice("tokens", k * width + 1, width), "\n"))).alias("nth", "band"))
+
+
+def _alike(lines: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``leaf, digest, template`` of the lines alike to a pattern: of several, the one in most documents."""
+    pairs = _bands(lines, "digest").join(_bands(patterns, "template"), ["leaf", "nth", "band"]).select("leaf", "digest", "template").distinct()
+    full = pairs.join(lines, ["leaf", "digest"]).join(patterns.withColumnRenamed("tokens", "pattern"), ["leaf", "template"])
+    differ = F.size(F.filter(F.zip_with("tokens", "pattern", lambda a, b: a != b), lambda x: x))
+    best = full.filter(differ <= _misses(F.col("tokens"))).groupBy("leaf", "digest").agg(F.max(F.struct("docs", "template")).alias("best"))
+    return best.select("leaf", "digest", F.col("best.template").alias("template"))
+
+
+def further(places: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame | None:
+    """``leaf, digest, template`` of the lines that are in a recurring template beside the leaf's first; None without any.
+
+    ``places`` (``doc, row, leaf, digest``) are the lines where they stand, ``lines`` (``leaf,
+    digest, tokens, found``) the distinct ones with their tokens behind the lead.
+
+    A level masks of every line the token places whose token is rarest there among the lines of
+    the leaf, as many as may differ from a template; places as frequent as the first one too many
+    stay. Lines that are equal then are a template if they are in ``min_docs`` documents, all of
+    a leaf's at once. The other lines alike to one of those join it, what is left goes to the next
+    level, with counts of its own, until a level finds no template.
+    """
+    out = None
+    while True:
+        cells = lines.select("leaf", "digest", "found", F.posexplode("tokens").alias("place", "token"))
+        held = cells.groupBy("leaf", "place", "token").agg(F.sum("found").alias("held"))
+        cells = cells.join(held, ["leaf", "place", "token"]).groupBy("leaf", "digest").agg(
+            F.sort_array(F.collect_list(F.struct("place", "token", "held"))).alias("cells"))
+        least = F.element_at(F.sort_array("cells.held"), _misses(F.col("cells")) + 1)
+        # a token has no space
+        masked = F.transform("cells", lambda c: F.when(c["held"] < F.col("least"), " ").otherwise(c["token"]))
+        keyed = cells.withColumn("least", least).filter(F.col("least") >= min_docs).select("leaf", "digest", masked.alias("masked"))
+        keyed = stored(keyed.withColumn("template", F.md5(F.array_join("masked", "\n").cast("binary"))), "masked")
+        docs = places.join(keyed.select("leaf", "digest", "template"), ["leaf", "digest"]).select("leaf", "template", "doc", "row").distinct()
+        docs = docs.groupBy("leaf", "template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
+        patterns = stored(docs.join(keyed.groupBy("leaf", "template").agg(F.first("masked").alias("tokens")), ["leaf", "template"]), "patterns")
+        if patterns.isEmpty():
+            return out
+        equal = keyed.join(patterns.select("leaf", "template"), ["leaf", "template"]).select("leaf", "digest", "template")
+        rest = lines.join(equal, ["leaf", "digest"], "left_anti").select("leaf", "digest", "tokens")
+        taken = stored(equal.union(_alike(rest, patterns)), "further")
+        out = taken if out is None else out.union(taken)
+        places = places.join(taken, ["leaf", "digest"], "left_anti")
+        lines = stored(lines.join(taken, ["leaf", "digest"], "left_anti"), "unmatched")
+
+
+def _again(found: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """``doc, row, at`` of the lines that are not the first of a recurring template, and those templates."""
+    place = F.min(F.struct("doc", "row", "at"))
+    recurring = (found.groupBy("leaf", "template", "doc", "row").agg(F.min("at").alias("at"))
+                 .groupBy("leaf", "template").agg(F.count("*").alias("docs"), place.alias("first")).filter(F.col("docs") >= min_docs))
+    recurring = stored(recurring, "recurring")
+    gone = found.join(recurring, ["leaf", "template"]).filter(F.struct("doc", "row", "at") != F.col("first"))
+    return gone.select("doc", "row", "at"), recurring
+
+
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``text`` less its recurring lines, and ``n_lines, n_dropped``.
 
@@ -63,12 +131,21 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str
     tokens = F.split("norm", " ")
     same = F.size(F.filter(F.zip_with(tokens, F.col("top_tokens"), lambda a, b: a == b), lambda x: x))
     alike = same * 100 >= SIMILAR_PCT * F.size(tokens)
-    found = lines.join(tops, "leaf").select("doc", "row", "at", "leaf", F.when(alike, F.col("top")).otherwise(F.col("digest")).alias("template"))
+    found = lines.join(tops, "leaf").select("doc", "row", "at", "leaf", "digest", F.when(alike, F.col("top")).alias("template"))
     found = stored(found, "templates")
-    place = F.min(F.struct("doc", "row", "at"))
-    recurring = (found.groupBy("leaf", "template", "doc", "row").agg(F.min("at").alias("at"))
-                 .groupBy("leaf", "template").agg(F.count("*").alias("docs"), place.alias("first")).filter(F.col("docs") >= min_docs))
-    gone = found.join(recurring, ["leaf", "template"]).filter(F.struct("doc", "row", "at") != F.col("first"))
+    gone, recurring = _again(found.filter("template IS NOT NULL"), min_docs)
+    rest = found.join(recurring, ["leaf", "template"], "left_anti").drop("template")
+    # up to one token behind the lead, a leaf's lines are all alike
+    rest = rest.filter(F.substring_index("leaf", " ", 1).cast("int") > LEAD + 1)
+    wide = rest.groupBy("leaf").agg(F.count("*").alias("found")).filter(F.col("found") >= min_docs)
+    rest = stored(rest.join(wide.select("leaf"), "leaf"), "rest")
+    if not rest.isEmpty():
+        counted = rest.groupBy("leaf", "digest").agg(F.count("*").alias("found"))
+        texts = lines.join(counted, ["leaf", "digest"]).groupBy("leaf", "digest", "found").agg(F.first("norm").alias("norm"))
+        behind = F.slice(F.split("norm", " "), LEAD + 1, F.length("norm"))
+        named = further(rest, stored(texts.select("leaf", "digest", "found", behind.alias("tokens")), "unmatched"), min_docs)
+        if named is not None:
+            gone = gone.union(_again(rest.join(named, ["leaf", "digest"]), min_docs)[0])
     gone = gone.groupBy("doc", "row").agg(F.collect_set("at").alias("gone"))
     keyed = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(BIG)), "__row": F.md5(F.col(text).cast("string").cast("binary"))})
     joined = keyed.join(gone.select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), F.col("gone").alias("__gone")), ["__doc", "__row"], "left")

@@ -67,3 +67,30 @@ def test_against_plain_python(spark):
     assert sum(r.n_dropped for r in got) > 30
     assert templates.drop_recurring_lines(df.limit(0)).count() == 0
 
+
+def left(spark, lines):
+    """The lines that stay of documents of one line each."""
+    df = ready(spark).createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(4)
+    return sorted(r.text for r in templates.drop_recurring_lines(df, 10).collect() if r.text)
+
+
+def word(i):
+    return "".join(chr(97 + int(c)) for c in str(i))
+
+
+def test_several_templates_of_a_leaf(spark):
+    news, friend = "Read more from the daily newsletter", "Read more from our friend "
+    assert left(spark, [friend + word(i) for i in range(1000)] + [news] * 20) == sorted([friend + word(0), news])
+    # no line is more frequent than the others, and the first template does not recur
+    other = [f"Read more from {word(i)} x{word(i)} y{word(i)}" for i in range(30)]
+    assert left(spark, [friend + word(i) for i in range(50)] + other) == sorted([friend + word(0), *other])
+
+
+def test_lines_alike_to_a_further_template(spark):
+    """Field values that are frequent because of another template."""
+    top = ["a b c d e f g h i j"] * 60
+    one = [f"a b c k l m n o {word(i)} p" for i in range(40)]
+    two = [f"a b c q r s t {word(i)} paris u" for i in range(50)]
+    paris = ["a b c k l m n o paris p"] * 3
+    assert left(spark, top + one + two + paris) == sorted([top[0], one[0], two[0]])
+    assert left(spark, top + one[:8] + ["a b c q r s t u v w"] * 9) == sorted([top[0], *one[:8], *["a b c q r s t u v w"] * 9])
