@@ -147,9 +147,9 @@ def _candidates(window: int, width: int, path: str, parts: list[tuple[int, int]]
             made += 1
             a, b, doc, row, start = (np.concatenate(x) for x in zip(*held))
             texts, place = np.unique(np.stack([doc, row], 1), axis=0, return_inverse=True)
-            order = np.lexsort((start, place.ravel(), b, a))
-            a, b, place, start = a[order], b[order], place.ravel()[order], start[order]
-            doc = texts[place, 0]
+            # as in _group: texts that share an id are told apart by start, not by their hash
+            order = np.lexsort((start, doc, b, a))
+            a, b, doc, place, start = a[order], b[order], doc[order], place.ravel()[order], start[order]
             later = _later(a, b, doc, start)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([made % buckets], pa.int32()), pa.array([chunk]), *(pa.nulls(1, pa.binary()) for _ in range(3)),

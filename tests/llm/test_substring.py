@@ -32,3 +32,13 @@ def test_query(spark, small_dir):
     data = [tuple(r) for r in spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").collect()]
     want = [(d, n, r, hashlib.sha256(k.encode()).hexdigest()) for d, n, r, k in brute.repeats_removed(data)]
     assert got == sorted(want, key=str)
+
+
+def test_earliest_start_of_rows_without_id(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    texts = [" ".join([*(f"w{n}x{i}" for i in range(n)), passage]) for n in range(12)]
+    for some in (texts, texts[3:], texts[5:9]):
+        data = [(None, t) for t in some]
+        df = ready(spark).createDataFrame(data, "doc_id long, text string").coalesce(1)
+        got = {r.kept_text for r in substring.remove_repeats(df).collect() if r.n_removed == 0}
+        assert got == {some[0]}
