@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hourgrid.llm import words as W
 from hourgrid.llm.components import components
@@ -133,6 +133,17 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, label: str) -
     return stored(done.select(F.col("a").alias("u"), F.col("b").alias("v")), f"{label}-links")
 
 
+def _lists(classes: DataFrame) -> DataFrame:
+    """Postings ``key, c, n`` of the lists of two classes and more, with the head ``a, a_n`` and length ``m``.
+
+    Head and length are combined map-side, so a key of very many classes is one row a task; the
+    join back is one that adaptive execution can split.
+    """
+    postings = classes.select("c", "n", F.explode(F.array_distinct(list_keys(F.col("sketch")))).alias("key"))
+    heads = postings.groupBy("key").agg(F.min(F.struct("c", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1")
+    return postings.join(heads, "key").select("key", "c", "n", F.col("head.c").alias("a"), F.col("head.n").alias("a_n"), "m")
+
+
 def _spread(lists: DataFrame) -> DataFrame:
     """Of ``key, c, n, root`` the lists that span several components, with their length ``m``."""
     wide = lists.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo <> hi")
@@ -177,12 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     classes = stored(
         some.groupBy("sig_a", "sig_b", "n").agg(F.min("doc_id").alias("least"), F.first("row").alias("row"), F.first("sketch").alias("sketch"))
         .withColumn("c", F.monotonically_increasing_id()), "classes")
-    # lists of one class are dropped on the way; the rest is narrow
-    by_key = Window.partitionBy("key")
-    postings = classes.select("c", "n", F.explode(list_keys(F.col("sketch"))).alias("key")).distinct()
-    lists = stored(
-        postings.withColumns({"head": F.min(F.struct("c", "n")).over(by_key), "m": F.count("*").over(by_key)})
-        .filter("m > 1").select("key", "c", "n", F.col("head.c").alias("a"), F.col("head.n").alias("a_n"), "m"), "lists")
+    lists = stored(_lists(classes), "lists")
     fits = lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y)
     star = lists.filter((F.col("c") != F.col("a")) & fits(F.col("n"), F.col("a_n"))).select("a", F.col("c").alias("b")).distinct()
     texts = texts.select("row", "text")

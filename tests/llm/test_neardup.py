@@ -37,3 +37,11 @@ def test_query(spark, small_dir):
     got = neardup.op6_near_duplicates(ready(spark), small_dir).collect()
     data = [tuple(r) for r in spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute.near_duplicates(data)
+
+
+def test_lists_are_combined_before_the_shuffle(spark):
+    classes = ready(spark).createDataFrame([(i, 10 + i, [7, 7, 100 + i]) for i in range(5)], "c long, n long, sketch array<int>")
+    got = neardup._lists(classes)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.a, r.a_n, r.m) for r in got.collect()} == {(0, 10, 5)}
+    assert sorted(r.c for r in got.select("key", "c").distinct().collect()) == list(range(5))
