@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, oracle, quality, substring, suffix, templates, warc
+from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, oracle, quality, substring, suffix, templates, tokenfile, warc
 from hourgrid.llm.frames import query
 
 QUERIES = [
@@ -17,6 +17,7 @@ QUERIES = [
     interpolated.op8_interpolated_scores,
     suffix.op9_remove_repeated_bytes,
     quality.op10_quality_rules,
+    tokenfile.op11_token_ids,
 ]
 
 
