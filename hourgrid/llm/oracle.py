@@ -74,6 +74,51 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+#: The table of crc32: a row with the list ``entry``.
+CRC_ENTRIES = """
+  SELECT list(c ORDER BY n) AS entry FROM (
+    SELECT n, list_reduce([n, 0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(n))
+"""
+
+#: crc32, before its last complement, of the bytes whose hex digits are in ``h``.
+CRC_OF_HEX = """list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+         lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1]))"""
+
+RESAMPLE = f"""
+WITH crc AS MATERIALIZED (
+{CRC_ENTRIES}), texts AS (
+  SELECT 'd' AS kind, doc_id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), w AS (
+  SELECT kind, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts
+), f AS (
+  SELECT kind, doc_id, array_to_string(words[pos : pos + n - 1], ' ') AS feature
+  FROM (SELECT kind, doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS pos FROM w, (SELECT unnest([1, 2, 3]) AS n) WHERE len(words) >= n)
+), counted AS MATERIALIZED (
+  SELECT kind, doc_id, feature, count(*) AS n FROM f GROUP BY ALL
+), hashed AS (
+  SELECT feature, xor({CRC_OF_HEX}, 4294967295) % 10000 AS bucket
+  FROM (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM counted)), crc
+), b AS MATERIALIZED (
+  SELECT kind, doc_id, bucket, sum(n) AS n FROM counted JOIN hashed USING (feature) GROUP BY ALL
+), totals AS (
+  SELECT bucket, sum(n) FILTER (kind = 'd') AS s, sum(n) FILTER (kind = 'b') AS t FROM b GROUP BY bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln((COALESCE(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+         / ((COALESCE(s, 0) + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS gain FROM totals
+), weighed AS (
+  SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS weight FROM b JOIN gain USING (bucket) WHERE kind = 'd' GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, len(words) AS n_words, CAST(COALESCE(n_features, 0) AS BIGINT) AS n_features, CAST(COALESCE(weight, 0) AS BIGINT) AS weight,
+         CAST(COALESCE(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM w LEFT JOIN weighed USING (doc_id) WHERE kind = 'd'
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM placed
+"""
+
 SQL = {
     "op1_warc_archive": WARC,
     "op2_line_templates": templates.ORACLE,
@@ -81,4 +126,5 @@ SQL = {
     "op4_remove_repeated_windows": WINDOWS,
     "op5_chat_format": CHAT,
     "op7_decontaminate": LEAKS,
+    "op13_importance_resample": RESAMPLE,
 }
