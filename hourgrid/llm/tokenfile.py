@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -47,6 +48,10 @@ SHARD = "part int, file string, n_docs long, n_ids long, n_null long, first long
 DOCUMENT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def _strings(col: pa.Array) -> list[str]:
+    return col.to_numpy(zero_copy_only=False).tolist()
+
+
 class Vocabulary:
     """A tokenizer file, and the ids of the words met so far."""
 
@@ -64,7 +69,7 @@ class Vocabulary:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known: dict[str, int] = {}
         self.pieces: dict[str, int] = {"": 0}
         self.body, self.tail = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.at = np.zeros(0, np.uint32), np.zeros(2, np.int64)
@@ -88,48 +93,30 @@ class Vocabulary:
             sizes.append(size)
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn(self, new: list[bytes]) -> None:
-        runs, odd, body, tail = [], [], [], []
-        first = len(self.pieces)
-        places = self.pieces
-
-        def place(piece: str, among: list[str]) -> int:
-            if piece not in places:
-                places[piece] = -1
-                among.append(piece)
-            return places[piece]
-
-        split = []
-        for word in new:
-            text = word.decode()
-            run = text.rstrip(STOPS)
-            if run.isalpha():
-                run, rest = run.lower() if run.isascii() else run, text[len(run) :]
-                place(run, runs)
-                if rest:
-                    place(rest, odd)
-                split.append((run, rest))
-            else:
-                place(text, odd)
-                split.append((text, ""))
-        for i, piece in enumerate(runs + odd):
-            places[piece] = first + i
-        for one, two in split:
-            body.append(places[one])
-            tail.append(places[two])
-        for i, word in enumerate(new, len(self.known)):
-            self.known[word] = i
-        self.body, self.tail = np.append(self.body, np.array(body, np.int64)), np.append(self.tail, np.array(tail, np.int64))
-        ids, sizes = [self.flat], []
-        if runs:
-            got, size = self._encode_runs(runs)
-            ids.append(got)
-            sizes.append(size)
-        each = self._encode(odd) if odd else []
-        ids.append(np.array([i for x in each for i in x], np.uint32))
-        sizes.append(np.array([len(x) for x in each], np.int64))
-        self.flat = np.concatenate(ids)
-        self.at = np.append(self.at, self.at[-1] + np.cumsum(np.concatenate(sizes)))
+    def _learn(self, new: pa.Array) -> None:
+        """Words that are a run of letters and stops, or only a run, go as these pieces, lower-case if ASCII; others whole."""
+        run = pc.ascii_rtrim(new, STOPS)
+        letters = pc.utf8_is_alpha(run)
+        run = pc.if_else(pc.and_(letters, pc.string_is_ascii(run)), pc.ascii_lower(run), pc.if_else(letters, run, new))
+        data, offs = W.flat(new)
+        size = np.diff(offs) - pc.binary_length(run).to_numpy().astype(np.int64)
+        rest = np.concatenate([[0], np.cumsum(size)])
+        inner = np.repeat(offs[1:] - rest[1:], size) + np.arange(rest[-1])
+        tail = pa.Array.from_buffers(new.type, len(new), [None, pa.py_buffer(rest), pa.py_buffer(data[inner])])
+        places = []
+        for col in run, tail:
+            coded = col.dictionary_encode()
+            pieces = _strings(coded.dictionary)
+            fresh = [x for x in pieces if x not in self.pieces]
+            runs, odd = [x for x in fresh if x.isalpha()], [x for x in fresh if not x.isalpha()]
+            self.pieces.update(zip(runs + odd, range(len(self.pieces), len(self.pieces) + len(fresh))))
+            ids, sizes = self._encode_runs(runs) if runs else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            each = self._encode(odd) if odd else []
+            self.flat = np.concatenate([self.flat, ids, np.array([i for x in each for i in x], np.uint32)])
+            self.at = np.append(self.at, self.at[-1] + np.cumsum(np.concatenate([sizes, [len(x) for x in each]]).astype(np.int64)))
+            places.append(np.array([self.pieces[x] for x in pieces], np.int64)[coded.indices.to_numpy()])
+        self.known.update(zip(_strings(new), range(len(self.known), len(self.known) + len(new))))
+        self.body, self.tail = np.append(self.body, places[0]), np.append(self.tail, places[1])
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after the other, and the row offsets into them."""
@@ -137,15 +124,16 @@ class Vocabulary:
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
         bounds = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-        col = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(data[W.SPACED[data]])])
+        col = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(data[W.SPACED[data]])])
         coded = col.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = _strings(coded.dictionary)
         if len(self.known) + len(distinct) > MOST_KNOWN:
             self.forget()
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            self._learn(new)
-        word = np.array([self.known[w] for w in distinct], np.int64)[coded.indices.to_numpy()]
+        known = self.known
+        new = np.flatnonzero([w not in known for w in distinct])
+        if len(new):
+            self._learn(coded.dictionary.take(pa.array(new)))
+        word = np.array([known[w] for w in distinct], np.int64)[coded.indices.to_numpy()]
         piece = np.stack([self.body[word], self.tail[word]], axis=1).ravel()
         size = self.at[piece + 1] - self.at[piece]
         upto = np.concatenate([[0], np.cumsum(size)])
@@ -368,7 +356,7 @@ def read_digests(shards: DataFrame) -> DataFrame:
                     for at in range(0, len(reader.docs), 4096):
                         yield _documents(reader, range(at, min(at + 4096, len(reader.docs))), base)
 
-    return shards.select("file", "start").repartition("file").mapInArrow(run, DOCUMENT)
+    return shards.select("file", "start").repartition(max(1, shards.count()), "file").mapInArrow(run, DOCUMENT)
 
 
 def read_documents(shards: DataFrame, wanted: DataFrame) -> DataFrame:
