@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, oracle, quality, resample, substring, suffix, templates, tokenfile, warc
+from hourgrid.llm import chat, decontaminate, interpolated, mixing, neardup, oracle, prefixtrie, quality, resample, substring, suffix, templates, tokenfile, warc
 from hourgrid.llm.frames import query
 
 QUERIES = [
@@ -18,6 +18,7 @@ QUERIES = [
     suffix.op9_remove_repeated_bytes,
     quality.op10_quality_rules,
     tokenfile.op11_token_ids,
+    prefixtrie.op12_prefix_trie,
     resample.op13_importance_resample,
 ]
 
