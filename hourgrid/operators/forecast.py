@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hourgrid import schema as S
 from hourgrid.functions import exprs as X
-from hourgrid.operators.ordering import exact_quantiles
+from hourgrid.operators.ordering import between_quantiles
 from hourgrid.session import settle
 
 # --- fixed values: frame layout, features and model settings ---------------------------------
@@ -179,14 +179,26 @@ def train_models(train: DataFrame, models: dict | None = None) -> tuple[dict[str
 
 
 def predict_all(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
-    """Long predictions, one row per model and input row."""
-    out = None
-    for name, model in models.items():
-        scored = model.transform(rows).select(
-            F.lit(name).alias("model"), *rows.columns, "predicted_trip_count"
-        )
-        out = scored if out is None else out.unionByName(scored)
-    return out
+    """Long predictions, one row per model and input row, from one pass over ``rows``.
+
+    Every model adds a column; models that share their feature stages (equal uids, which
+    saving keeps) share the feature vector too. The columns become rows at the end.
+    """
+    wide, prepared, done = rows, None, []
+    for at, model in enumerate(models.values()):
+        *features, last = model.stages
+        mark = [stage.uid for stage in features]
+        if mark != prepared:
+            wide, prepared = PipelineModel(features).transform(wide.select(*rows.columns, *done)), mark
+        done.append(f"__predicted_{at}")
+        wide = last.transform(wide).withColumnRenamed("predicted_trip_count", done[-1])
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(c).alias("predicted_trip_count"))
+        for name, c in zip(models, done)
+    ])
+    return wide.select(*rows.columns, F.explode(pairs).alias("__p")).select(
+        F.col("__p.model").alias("model"), *rows.columns, F.col("__p.predicted_trip_count")
+    )
 
 
 def one_feature_model(rows: DataFrame, feature: str) -> PipelineModel:
@@ -204,6 +216,38 @@ def best_predictions(predictions: DataFrame) -> DataFrame:
     return predictions.join(best, "model", "left_semi").drop("model")
 
 
+def model_stage(train: DataFrame, evaluation: DataFrame, folder: str, models: dict | None = None) -> None:
+    """Train, save, load and score, all below ``folder``.
+
+    Writes one folder per fitted pipeline, the validation predictions (``validation``) and,
+    by the models as loaded again, the predictions of the evaluation rows (``evaluation``).
+    Predictions are partitioned by model, so that a reader of one model scans only its files.
+    """
+    fitted, validation = train_models(train, models)
+    save_models(fitted, folder)
+    write_predictions(validation, f"{folder}/validation")
+    write_predictions(predict_all(load_models(folder, list(fitted)), evaluation), f"{folder}/evaluation")
+
+
+def write_predictions(predictions: DataFrame, path: str) -> None:
+    predictions.write.mode("overwrite").partitionBy("model").parquet(path)
+
+
+def reload_report(train: DataFrame, folder: str, names: list[str] | None = None) -> DataFrame:
+    """Per model: validation rows, and how many the saved model predicts otherwise than the fitted one did."""
+    key = [S.PU, "pickup_date", "hour"]
+    tagged = train_validation_split(train)
+    again = predict_all(load_models(folder, names), tagged.where(F.col("part") == "validation"))
+    first = train.sparkSession.read.parquet(f"{folder}/validation")
+    both = again.select("model", *key, F.col("predicted_trip_count").alias("__again")).join(
+        first.select("model", *key, "predicted_trip_count"), ["model", *key], "full_outer"
+    )
+    same = F.col("__again").eqNullSafe(F.col("predicted_trip_count"))
+    return both.groupBy("model").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(~same).alias("changed_rows")
+    )
+
+
 def model_folder(folder: str, name: str) -> str:
     return f"{folder}/{name.lower().replace(' ', '_')}_model"
 
@@ -328,17 +372,8 @@ def weekday_hour_error_heatmap(predictions: DataFrame) -> DataFrame:
 
 
 def error_distribution(predictions: DataFrame) -> DataFrame:
-    """Errors between the exact 1st and 99th percentile, ends included.
-
-    The error column is settled first: the quantiles and the filter then both read it
-    instead of computing the predictions twice.
-    """
-    errors = settle(with_errors(predictions).select("prediction_error"))
-    edges = exact_quantiles(errors, "prediction_error", {"low": TAIL[0], "high": TAIL[1]})
-    return errors.where(
-        (F.col("prediction_error") >= edges.select("low").scalar())
-        & (F.col("prediction_error") <= edges.select("high").scalar())
-    )
+    """Errors between the exact 1st and 99th percentile, ends included."""
+    return between_quantiles(with_errors(predictions).select("prediction_error"), "prediction_error", *TAIL)
 
 
 def forecast_zone_hour(predictions: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def route_concentration(routes: DataFrame) -> DataFrame:
     """Cumulative share of trips over the routes, busiest first."""
     placed = number_all(
         routes,
-        [*desc("trip_count", "total_revenue"), F.col("route_key")],
+        ["-trip_count", "-total_revenue", "route_key"],
         "route_order",
         running=("cumulative_trips", "trip_count"),
         grand="overall_trips",

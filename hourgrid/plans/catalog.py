@@ -49,7 +49,7 @@ class Tables:
     common stages once for a run over many tables.
     """
 
-    sources: dict[str, Callable]  # raw, zones, area_features, zone_features; models if trained
+    sources: dict[str, Callable]  # raw, zones, area_features, zone_features; models (name -> fitted model) if trained
     params: Params = Params()
 
     @cached_property
@@ -127,6 +127,25 @@ class Tables:
             return forecast.predict_all(self.sources["models"](), self.evaluation)
         return forecast.baseline_predictions(self.evaluation)
 
+    def trained(self, folder: str) -> Tables:
+        """Train, save, load and score the models once; return tables that read the stored predictions.
+
+        Metrics, predictions and error tables of the result are those of the trained models;
+        the source ``models`` is what was loaded, ``validation`` the validation predictions.
+        """
+        folder = folder.rstrip("/")
+        forecast.model_stage(self.train, self.evaluation, folder)
+        return self.with_models(folder)
+
+    def with_models(self, folder: str) -> Tables:
+        """The same tables with the models and predictions that ``trained`` left in ``folder``."""
+        spark = self.zones.sparkSession
+        out = Tables({**self.sources, "models": lambda: forecast.load_models(folder)}, self.params)
+        out.__dict__.update({k: v for k, v in self.__dict__.items() if k in ("trips", "cube", "routes")})
+        out.__dict__["scored"] = spark.read.parquet(f"{folder}/evaluation")
+        out.__dict__["validation"] = spark.read.parquet(f"{folder}/validation")
+        return out
+
     def need(self, stage: str) -> DataFrame:
         """A stage table, or an error that names the required columns it lacks."""
         return S.require_columns(getattr(self, stage), S.STAGE_INPUTS[stage], stage)

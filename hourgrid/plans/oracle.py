@@ -749,6 +749,13 @@ def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
             f"""SELECT * FROM raw_trips WHERE CAST('0x' || substr(md5(concat_ws('|', '42', PULocationID, DOLocationID,
  CAST(epoch(tpep_pickup_datetime) AS BIGINT), CAST(epoch(tpep_dropoff_datetime) AS BIGINT))), 1, 8) AS BIGINT) < {int(0.01 * 2**32)}""", RAW_D),
         "train_validation_split": ("SELECT * FROM parted", [*FRAME, "part"]),
+        "trained_reload": (
+            """SELECT model, count(*) AS row_count, 0 AS changed_rows FROM parted,
+ (VALUES ('Linear Regression'), ('Random Forest'), ('Gradient Boosting')) AS m(model) WHERE part = 'validation' GROUP BY model""",
+            ["model", "row_count", "changed_rows:BIGINT"]),
+        "trained_coverage": (
+            "SELECT pickup_borough, count(*) AS records, sum(trip_count) AS actual_trip_count, true AS adds_up FROM split WHERE dataset = 'evaluation' GROUP BY 1",
+            _list("pickup_borough records actual_trip_count adds_up")),
         "linear_evaluation": (
             """SELECT *, row_number() OVER (ORDER BY RMSE, model) = 1 AS is_best_model FROM (
  SELECT model, avg(abs(trip_count - predicted)) AS MAE, sqrt(avg((trip_count - predicted) ** 2)) AS RMSE,

@@ -140,9 +140,46 @@ def contradicting(cube: DataFrame) -> DataFrame:
     })
 
 
-def train_models(t: Tables) -> DataFrame:
-    _, validation = forecast.train_models(t.train)
-    return forecast.model_metrics(validation)
+_TRAINED: dict[tuple[str, str], str] = {}
+
+
+def model_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the trained models; the first query of an application that asks for it trains them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        folder = scratch_path(spark, "models")
+        tables(spark, sf_dir).trained(folder)
+        _TRAINED[key] = folder
+    return _TRAINED[key]
+
+
+def _trained(name: str) -> Query:
+    """A table over the predictions of the trained models."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return tables(spark, sf_dir).with_models(model_folder(spark, sf_dir)).table(name)
+
+    return run
+
+
+def train_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the trained models on the validation rows."""
+    t = tables(spark, sf_dir).with_models(model_folder(spark, sf_dir))
+    return forecast.model_metrics(t.validation)
+
+
+def trained_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation rows of each model, and those that the loaded model predicts otherwise than the fitted one."""
+    return forecast.reload_report(tables(spark, sf_dir).train, model_folder(spark, sf_dir))
+
+
+def trained_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the best model's table by borough does not depend on the model, and whether its sums agree."""
+    table = _trained("error_by_borough")(spark, sf_dir)
+    near = F.abs(F.col("aggregate_error") - F.col("mean_error") * F.col("records")) <= 1e-6 * (F.col("total_absolute_error") + 1)
+    return table.select(
+        "pickup_borough", "records", "actual_trip_count",
+        (near & (F.col("rmse") >= F.col("mae") - 1e-9) & (F.abs("mean_error") <= F.col("mae") + 1e-9)).alias("adds_up"),
+    )
 
 
 def _with_linear(t: Tables) -> Tables:
@@ -282,7 +319,6 @@ def _over_tables() -> dict[str, Callable[[Tables], DataFrame]]:
         ),
         "train_validation_split": lambda t: forecast.train_validation_split(t.train),
         "feature_pipeline": feature_pipeline,
-        "train_models": train_models,
         "linear_evaluation": linear_evaluation,
         "linear_forecast_monthly": lambda t: _with_linear(t).table("forecast_monthly"),
         "linear_error_by_borough": lambda t: _with_linear(t).table("error_by_borough"),
@@ -327,6 +363,13 @@ def queries() -> dict[str, Query]:
         f.__name__: f for f in (
             scan_trips_merged, scan_zone_lookup, scan_feature_table, scan_centroids, scan_geojson,
             stream_zone_demand, stream_zone_demand_parts, stream_hotspots, batch_speed_merge,
+            train_models, trained_reload, trained_coverage,
+        )
+    }
+    out |= {
+        f"trained_{name}": _trained(name) for name in (
+            "model_evaluation_metrics", "forecast_predictions", "forecast_daily", "error_by_hour",
+            "error_by_borough", "zone_accuracy", "error_distribution",
         )
     }
     for name, build in {**builders(), **_over_tables()}.items():

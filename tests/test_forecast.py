@@ -111,6 +111,41 @@ def test_models_beat_the_mean_and_save(spark, cube, tmp_path):
     assert again.transform(frame.where("PULocationID = 2")).count() == 1
 
 
+def _near(rows):
+    return sorted([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows], key=repr)
+
+
+def test_model_stage_feeds_the_error_tables(spark, small_dir, tmp_path):
+    """Train, save, load, score; SQL over the stored predictions gives the same metrics and error tables."""
+    import duckdb
+
+    from hourgrid.plans import queries as Q
+
+    small = FC.estimators({"numTrees": 4, "maxDepth": 4}, {"maxIter": 3})
+    t = Q.tables(spark, small_dir)
+    folder = str(tmp_path / "models")
+    FC.model_stage(t.train, t.evaluation, folder, small)
+    out = t.with_models(folder)
+    stored = f"read_parquet('{folder}/evaluation/*/*.parquet', hive_partitioning = true)"
+    metrics = duckdb.sql(f"""SELECT model, avg(abs(e)), sqrt(avg(e * e)), 1 - avg(e * e) / var_pop(trip_count)
+        FROM (SELECT *, trip_count - predicted_trip_count AS e FROM {stored}) GROUP BY model ORDER BY 3""").fetchall()
+    got = out.table("model_evaluation_metrics").collect()
+    assert {r.model for r in got} == set(small)
+    assert _near(tuple(r)[:4] for r in got) == _near(metrics)
+    assert [r.model for r in got if r.is_best_model] == [metrics[0][0]]
+    best = f"(SELECT *, trip_count - predicted_trip_count AS e FROM {stored} WHERE model = '{metrics[0][0]}')"
+    for table, key in ("error_by_borough", "pickup_borough"), ("error_by_hour", "hour"):
+        want = duckdb.sql(f"SELECT {key}, count(*), sum(trip_count), sum(predicted_trip_count), avg(e), avg(abs(e)), sqrt(avg(e * e)) FROM {best} GROUP BY 1").fetchall()
+        columns = [key, "records", "actual_trip_count", "predicted_trip_count", "mean_error", "mae", "rmse"]
+        assert _near(tuple(r[c] for c in columns) for r in out.table(table).collect()) == _near(want)
+    assert out.table("forecast_predictions").count() == t.evaluation.count()
+    report = FC.reload_report(t.train, folder).collect()
+    assert {r.model for r in report} == set(small) and all(r.changed_rows == 0 and r.row_count > 0 for r in report)
+    wanted = {tuple(r) for r in FC.predict_all(dict(list(FC.load_models(folder).items())[:1]), t.evaluation).collect()}
+    first = out.scored.where("model = 'Linear Regression'").select("model", *t.evaluation.columns, "predicted_trip_count")
+    assert {tuple(r) for r in first.collect()} == wanted
+
+
 def test_views_over_forecasts(spark, errors):
     long = views.actual_predicted_long(FC.forecast_monthly(errors), "year_month")
     assert sorted(values(long, "year_month", "series", "value"))[0] == ("2024-01", "Actual", 10.0)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from hourgrid.operators.ordering import dense_rank_all, desc, exact_quantiles, number_all
+from hourgrid.operators.ordering import dense_rank_all, exact_quantiles, number_all
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,7 @@ def test_dense_rank_within_groups(ties):
 
 def test_positions_and_running_sum(ties):
     rows = ties.where(F.col("n").isNotNull())
-    out = number_all(rows, [*desc("n"), F.col("id")], "pos", ("run", "n"), "all")
+    out = number_all(rows, ["-n", "id"], "pos", ("run", "n"), "all")
     total = 0
     got = sorted(out.collect(), key=lambda r: r.pos)
     assert [r.pos for r in got] == list(range(1, 901))
@@ -63,3 +63,25 @@ def test_quantile_of_one_and_of_no_row(spark):
     assert exact_quantiles(one, "x", {"q": 0.3}).first().q == 3.0
     none = spark.createDataFrame([], "x double")
     assert exact_quantiles(none, "x", {"q": 0.3}).first().q is None
+
+
+def test_one_exchange_of_the_rows_and_nothing_run_before(spark, ties):
+    """The rows are computed behind one exchange; bucket windows and totals read one more; no file is scanned or left."""
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    out = dense_rank_all(ties.groupBy("g", "n").agg(F.sum("v").alias("v"), F.count("*").alias("c")), ["n", "v"], "r", tie=("g",))
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == jobs
+    rows = out.collect()
+    want = _dense(rows)
+    assert all(r.r == want[r.n, r.v] for r in rows)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Scan ExistingRDD" not in plan.replace("Scan ExistingRDD[id", "")  # no checkpoint beside the given rows
+    assert plan.count("Exchange RoundRobin") - plan.count("ReusedExchange") <= 1
+
+
+def test_dynamic_pruning_below(spark, tmp_path):
+    """A source with a join on its partition column is ranked too."""
+    spark.range(60).selectExpr("id", "id % 3 AS part", "id % 7 AS v").write.partitionBy("part").parquet(str(tmp_path / "t"))
+    keep = spark.range(3).where("id > 0").selectExpr("id AS part").groupBy("part").agg(F.count("*").alias("k")).where("k = 1")
+    rows = spark.read.parquet(str(tmp_path / "t")).join(keep, "part", "left_semi")
+    out = dense_rank_all(rows, ["v"], "r").collect()
+    assert len(out) == 40 and all(r.r == 7 - r.v for r in out)
