@@ -74,6 +74,11 @@ DAY_PERIODS = (
     (0, 5, 1, "late_night_00_05"), (6, 10, 2, "morning_peak_06_10"), (11, 15, 3, "midday_11_15"),
     (16, 19, 4, "evening_peak_16_19"), (20, 23, 5, "night_20_23"),
 )
+# columns that a typed CSV load leaves as text, whatever they hold
+DATE_LIKE = (
+    "activity_date", "dropoff_date", "pickup_date", "start_date", "end_date",
+    "first_seen_date", "last_seen_date", "year_month",
+)
 WEEKDAY_NAMES = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
 # --------------------------------------------------------------------------------------------
 

@@ -68,6 +68,81 @@ def test_parquet_and_provenance(spark, tmp_path):
         assert rows.where("_imported_at is null").count() == 0
 
 
+def test_publication_is_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "published")
+    one, two = spark.range(5).toDF("n"), spark.range(9).toDF("n")
+    with pytest.raises(Exception, match="(?i)path"):
+        sinks.read_published(spark, target)
+    sinks.publish(one, target, "t", "a/b", "v1")
+    assert sinks.read_published(spark, target).count() == 5
+    stop = monkeypatch.context()
+    with stop as broken:  # fails between the rows and the log
+        broken.setattr(F, "current_timestamp", lambda calls=iter([F.current_timestamp()]): next(calls))
+        with pytest.raises(StopIteration):
+            sinks.publish(two, target, "t", "a/b", "v2")
+    assert (tmp_path / "published" / "v2").exists()
+    assert sinks.read_published(spark, target).count() == 5
+    sinks.publish(two, target, "t", "a/b", "v2")
+    sinks.publish(two.limit(1), target, "t", "a/b", "v2")  # a retry after success
+    rows = sinks.read_published(spark, target)
+    assert rows.count() == 9 and rows.where("_imported_at IS NULL").count() == 0
+    assert values(rows.select("_source_table", "_source_path").distinct(), "_source_table", "_source_path") == [("t", "a/b")]
+    sinks.publish(one.limit(0), target, "t", "a/b", "v3")
+    assert sinks.read_published(spark, target).count() == 0
+
+
+def test_inferred_csv(spark, tmp_path):
+    rows = "".join(f"{i},{i}.5,{i},{i},,2021-0{i},{i}e1, ,{i}\n" for i in range(1, 9))
+    (tmp_path / "t.csv").write_text("n,x,mixed,odd,nothing,year_month,power,blank,big\n" + rows + "9,7,1.5,q,,2021-09,5,,99999999999999999999\n")
+    table = SRC.inferred_csv(spark, str(tmp_path / "t.csv"))
+    assert dict(table.dtypes) == {"n": "bigint", "x": "double", "mixed": "double", "odd": "string", "nothing": "string",
+                                  "year_month": "string", "power": "double", "blank": "string", "big": "string"}
+    last = table.where("n = 9").first()
+    assert (last.x, last.odd, last.nothing, last.year_month, last.power, last.big) == (7.0, "q", None, "2021-09", 5.0, "9" * 20)
+    assert table.where("n = 3").first().power == 30.0
+
+
+def test_geojson_on_one_line_is_split(spark, tmp_path):
+    one = '{ "type" : "Feature", "id": %d, "properties":{"LocationID":%d,"zone":"z, {\\"type\\":[%d]}","borough":"b"},"geometry":{"type":"Polygon","coordinates":[[[0,%d.5],[1,1],[2,0],[0,%d.5]]]}}'
+    n = 30_000
+    text = '{"type":"FeatureCollection","crs":{"type":"name","properties":{}},"features":[' + " ,\n".join(one % ((i,) * 5) for i in range(n)) + '],"bbox":[0,1]}'
+    (tmp_path / "one.json").write_text(text)
+    (tmp_path / "two.json").write_text('\ufeff{"type":"FeatureCollection","features":[]}')
+    (tmp_path / "three.json").write_text(('{"type":"FeatureCollection","features":[' + one % ((n,) * 5) + "]}\n") * 2)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        got = SRC.scan_geojson(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() > 5
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.LocationID for r in rows) == sorted([*range(n), n, n])
+    some = next(r for r in rows if r.LocationID == 77)
+    assert (some.zone, some.borough, some.geometry_type, some.coordinates) == ('z, {"type":[77]}', "b", "Polygon", "[[[0,77.5],[1,1],[2,0],[0,77.5]]]")
+    whole = SRC.scan_geojson(spark, str(tmp_path / "one.json"), whole=True)
+    assert sorted(whole.collect()) == sorted(r for r in rows if r.LocationID < n)
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "x.json").write_text('{"type":"FeatureCollection","features":[{"properties":{"LocationID":1},"type":"Feature","geometry":null}]}')
+    with pytest.raises(Exception, match="not a feature"):
+        SRC.scan_geojson(spark, str(tmp_path / "other")).collect()
+
+
+def test_drift_by_folder_and_inside_a_folder(spark, tmp_path):
+    base = trips(spark, trip(), trip(passengers=2.0))
+    whole = base.withColumn("passenger_count", F.lit(3).cast("bigint"))
+    for month in range(1, 5):
+        base.coalesce(1).write.parquet(str(tmp_path / f"y=1/{month}"))
+        whole.coalesce(1).write.parquet(str(tmp_path / f"y=2/{month}"))
+    out = SRC.load_trips(spark, str(tmp_path))
+    assert out.count() == 16
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # one scan a schema
+    whole.coalesce(1).write.mode("append").parquet(str(tmp_path / "y=1/1"))
+    out = SRC.load_trips(spark, str(tmp_path))
+    assert out.count() == 18 and sorted(set(values(out, "passenger_count"))) == [1.0, 2.0, 3.0]
+
+
 def test_quality(spark):
     raw = trips(spark, trip(), trip(pick=datetime(2021, 1, 31, 23, 50)), trip(pick=None))
     january = ("2021-01-01 00:00:00", "2021-02-01 00:00:00")
