@@ -102,38 +102,69 @@ def od_flow_year_month(trips: DataFrame, top_n: int | None = 500) -> DataFrame:
     return flows.orderBy("year", "month", "route_rank_in_year_month")
 
 
-def map_replay_sample(
-    trips: DataFrame, centroids: DataFrame, sample_size: int = 5000, seed: int = 42
-) -> DataFrame:
-    """A repeatable random sample of trips with coordinates, epochs and a replay number.
-
-    The random order is a hash of the seed and the trip, so it does not depend on how the
-    rows are partitioned; the limit runs as a top-k per task and one small merge. What
-    follows handles at most ``sample_size`` rows.
-    """
+_REPLAY = [
+    "pickup_ts", "dropoff_ts", "pickup_epoch_ms", "dropoff_epoch_ms",
+    "pickup_date", "year", "month", "year_month", "hour", S.PU, "pickup_zone",
+    "pickup_borough", "pickup_lon", "pickup_lat", S.DO, "dropoff_zone", "dropoff_borough",
+    "dropoff_lon", "dropoff_lat", "route_key", "route_name", S.MINUTES, S.DISTANCE, S.TOTAL,
+]
+_REPLAY_TIES = [S.TOTAL, S.DISTANCE, S.MINUTES]
+REPLAY_ORDER = ["pickup_ts", S.PU, S.DO, *_REPLAY_TIES]
+REPLAY_DRAW = ["lottery", *_REPLAY_TIES]
+
+
+def _with_lottery(trips: DataFrame, seed: int) -> DataFrame:
+    """Trips with both ends and the hash of seed and trip that random draws go by."""
     stamp = [F.unix_timestamp(F.col(c).cast("timestamp")) for c in ("pickup_ts", "dropoff_ts")]
     lottery = F.md5(F.concat_ws("|", F.lit(str(seed)), S.PU, S.DO, *stamp))
-    ties = [S.TOTAL, S.DISTANCE, S.MINUTES]
-    sampled = (
-        trips.dropna(subset=[S.PU, S.DO, "pickup_ts", "dropoff_ts"])
-        .orderBy(lottery, *ties)
-        .limit(sample_size)
-    )
+    return trips.dropna(subset=[S.PU, S.DO, "pickup_ts", "dropoff_ts"]).withColumn("lottery", lottery)
+
+
+def _placed(trips: DataFrame, centroids: DataFrame) -> DataFrame:
+    """Coordinates of both ends and epochs; trips from or to a zone without a centroid go."""
     for zone_id, prefix in ((S.PU, "pickup"), (S.DO, "dropoff")):
         spots = centroids.select(
             F.col("LocationID").alias(f"__{prefix}"),
             F.col("centroid_lon").alias(f"{prefix}_lon"),
             F.col("centroid_lat").alias(f"{prefix}_lat"),
         )
-        sampled = sampled.join(spots, F.col(zone_id) == F.col(f"__{prefix}"))
-    sequence = Window.partitionBy().orderBy("pickup_ts", S.PU, S.DO, *ties)
-    return sampled.withColumns({
+        trips = trips.join(spots, F.col(zone_id) == F.col(f"__{prefix}"))
+    return trips.withColumns({
         "pickup_epoch_ms": F.unix_timestamp("pickup_ts") * 1000,
         "dropoff_epoch_ms": F.unix_timestamp("dropoff_ts") * 1000,
-        "replay_trip_id": F.row_number().over(sequence),
-    }).select(
-        "replay_trip_id", "pickup_ts", "dropoff_ts", "pickup_epoch_ms", "dropoff_epoch_ms",
-        "pickup_date", "year", "month", "year_month", "hour", S.PU, "pickup_zone",
-        "pickup_borough", "pickup_lon", "pickup_lat", S.DO, "dropoff_zone", "dropoff_borough",
-        "dropoff_lon", "dropoff_lat", "route_key", "route_name", S.MINUTES, S.DISTANCE, S.TOTAL,
-    )
+    })
+
+
+def numbered_replay(sampled: DataFrame) -> DataFrame:
+    """Replay numbers over a drawn sample, in order of time."""
+    number = F.row_number().over(Window.partitionBy().orderBy(*REPLAY_ORDER))
+    return sampled.withColumn("replay_trip_id", number).select("replay_trip_id", *_REPLAY)
+
+
+def map_replay_sample(
+    trips: DataFrame, centroids: DataFrame, sample_size: int = 5000, seed: int = 42
+) -> DataFrame:
+    """A repeatable random sample of trips with coordinates, epochs and a replay number.
+
+    The random order is a hash of the seed and the trip, so it does not depend on how the
+    rows are partitioned; the limit runs as a top-k per task and one small merge. What
+    follows handles at most ``sample_size`` rows.
+    """
+    sampled = _with_lottery(trips, seed).orderBy(*REPLAY_DRAW).limit(sample_size)
+    return numbered_replay(_placed(sampled, centroids))
+
+
+def map_replay_strata(
+    trips: DataFrame, centroids: DataFrame, sample_size: int | None = 5000, seed: int = 42
+) -> DataFrame:
+    """The ``sample_size`` trips of smallest hash for every year, month and hour (all for None).
+
+    The n smallest of any union of strata are among the n smallest of each, so every calendar
+    filter draws its own whole sample of up to ``sample_size`` trips from this table. The
+    limit inside a stratum folds in the tasks, below the shuffle.
+    """
+    drawn = _with_lottery(trips, seed)
+    if sample_size is not None:
+        inside = Window.partitionBy("year", "month", "hour").orderBy(*REPLAY_DRAW)
+        drawn = drawn.withColumn("__n", F.row_number().over(inside)).where(F.col("__n") <= sample_size).drop("__n")
+    return _placed(drawn, centroids).select("lottery", *_REPLAY)

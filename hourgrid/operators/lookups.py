@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.operators.business import sort_keys
+from hourgrid.operators.flows import REPLAY_DRAW, numbered_replay
 
 GetTable = Callable[[str], DataFrame]
 
@@ -41,7 +43,8 @@ class Preset:
     """A lookup as data. ``filters`` maps parameter -> column; ``yearly`` replaces table and
     sort when a year is given; ``first`` is the default limit or None for no limit; ``first_needs``
     names a parameter without which the limit does not apply; ``key`` ends every sort that
-    has a limit, so that the kept rows are the same on every run."""
+    has a limit, so that the kept rows are the same on every run; ``drawn`` takes the rows of
+    a limit at random, by the table's lottery, instead of the first ones, and numbers them."""
 
     table: str
     sort: list[str] = field(default_factory=list)
@@ -50,6 +53,7 @@ class Preset:
     key: list[str] = field(default_factory=list)
     yearly: tuple[str, list[str]] | None = None
     first_needs: str | None = None
+    drawn: bool = False
 
 
 _YEAR = {"year": "year"}
@@ -98,8 +102,8 @@ PRESETS: dict[str, Preset] = {
     "routes_inter_borough": Preset(
         "top_inter_borough_routes", ["route_rank", "-trip_count"], {}, 25, _ROUTE_KEY
     ),
-    "routes_matrix": Preset("route_borough_matrix", ["-total_trips"]),
-    "routes_trip_matrix": Preset("pickup_dropoff_borough_matrix", ["-trip_count"]),
+    "routes_matrix": Preset("route_borough_matrix", ["-total_trips", "pickup_borough", "dropoff_borough"]),
+    "routes_trip_matrix": Preset("pickup_dropoff_borough_matrix", ["-trip_count", "pickup_borough", "dropoff_borough"]),
     "routes_airport_summary": Preset("airport_trip_summary", ["year", "airport_trip_type"], _YEAR),
     "routes_efficiency": Preset(
         "route_efficiency_ranking", ["-revenue_per_mile", "-trip_count"], {}, 25, _ROUTE_KEY
@@ -128,7 +132,7 @@ PRESETS: dict[str, Preset] = {
         {"year": "year", "month": "month", "year_month": "year_month", "borough": "pickup_borough"},
         500, _ROUTE_KEY,
     ),
-    "map_replay": Preset("map_replay_sample", ["pickup_epoch_ms"], _CALENDAR, 5000, ["replay_trip_id"]),
+    "map_replay": Preset("map_replay_strata", ["pickup_epoch_ms"], _CALENDAR, 5000, ["replay_trip_id"], drawn=True),
     # profiles
     "profiles_zones": Preset(
         "zone_profile_summary", ["-total_trips"], {"borough": "pickup_borough"}, 300, _ZONE_KEY
@@ -187,9 +191,35 @@ def resolve(name: str, limit: int | None = None, **params) -> tuple[str, dict, l
 def lookup(tables: GetTable, name: str, limit: int | None = None, **params) -> DataFrame:
     """Run one preset over a provider of ranked but uncut tables (``Tables.ranked.table``)."""
     table, filters, sort, count = resolve(name, limit, **params)
+    if PRESETS[name].drawn:
+        sample = scoped_lookup(tables(table), filters).orderBy(*REPLAY_DRAW).limit(count)
+        return scoped_lookup(numbered_replay(sample), sort=sort)
     return scoped_lookup(tables(table), filters, sort, count)
 
 
+def bundle(parts: dict[str, DataFrame]) -> DataFrame:
+    """Tables of different layouts as one: section, position of the row, field, and its number or text.
+
+    The parts are sorted reports of bounded size (limits, calendar cells), numbered as they
+    are sorted. What several of them are built on is one exchange of the common plan.
+    """
+    out = None
+    for section, table in parts.items():
+        fields = F.array(*[
+            F.struct(
+                F.lit(f.name).alias("field"),
+                (F.col(f.name).cast("double") if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double")).alias("number"),
+                (F.lit(None).cast("string") if isinstance(f.dataType, T.NumericType) else F.col(f.name).cast("string")).alias("text"),
+            )
+            for f in table.schema.fields
+        ])
+        inside = Window.partitionBy("section").orderBy("__at")
+        rows = table.withColumn("__at", F.monotonically_increasing_id()).select(F.lit(section).alias("section"), "__at", fields.alias("__f"))
+        long = rows.withColumn("position", F.row_number().over(inside)).select("section", "position", F.inline("__f"))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def filter_values(tables: GetTable) -> dict[str, DataFrame]:
     """Choices for filter boxes: years, boroughs, and zones once each, by name."""
     zones = (

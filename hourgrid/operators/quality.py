@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid import schema as S
 
@@ -25,6 +26,33 @@ def dq_profile(table: DataFrame, rows: int = 5) -> dict[str, DataFrame]:
     }
 
 
+def column_profile(table: DataFrame, samples: int = 3, rsd: float = 0.02) -> DataFrame:
+    """A row per column, from one pass: type, rows, nulls, least and greatest value, distincts, samples.
+
+    Numbers and dates or texts have their own columns for the extremes. ``distinct_estimate``
+    is a HyperLogLog count with relative standard deviation ``rsd``; samples are the values of
+    smallest hash, one a seed, so they do not depend on how rows are dealt.
+    """
+    def line(at: int, name: str, kind: T.DataType) -> Column:
+        c = F.col(f"`{name}`")
+        number = c.cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if isinstance(kind, T.NumericType) else c.cast("string")
+        return F.struct(
+            F.lit(at).alias("position"), F.lit(name).alias("name"), F.lit(kind.simpleString()).alias("type"),
+            F.count(F.lit(1)).alias("row_count"), F.count_if(c.isNull()).alias("null_count"),
+            F.min(number).alias("min_number"), F.max(number).alias("max_number"),
+            F.min(text).alias("min_text"), F.max(text).alias("max_text"),
+            F.approx_count_distinct(c, rsd).alias("distinct_estimate"),
+            F.array_distinct(F.array_compact(F.array(*[
+                F.min_by(c.cast("string"), F.xxhash64(c, F.lit(seed))) for seed in range(samples)
+            ]))).alias("samples"),
+        )
+
+    fields = table.schema.fields
+    lines = table.agg(*[line(i, f.name, f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+    return lines.select(F.inline(F.array(*[f"c{i}" for i in range(len(fields))])))
+
+
 def dq_time_range(trips: DataFrame) -> DataFrame:
     """First and last pickup and dropoff, and how many of each are missing."""
     parts = []

@@ -178,8 +178,8 @@ def top_zones_by_year(cube: DataFrame, top_n: int | None = 10) -> DataFrame:
     return _top_within(aggregate_demand(cube, ["year", *_ZONE]), "year", "zone_rank_in_year", top_n)
 
 
-def zone_rank_change(cube: DataFrame, rank_change_n: int = 50) -> DataFrame:
-    """Rank of each zone in the first and in the last year present, side by side.
+def zone_rank_change(cube: DataFrame, rank_change_n: int | None = 50) -> DataFrame:
+    """Rank of each zone in the first and in the last year present, side by side (all zones for None).
 
     Only these two years are summed and ranked. Both are edges of one grouped pass over the
     ranked table; a zone present at only one edge keeps nulls at the other, as a full outer
@@ -211,12 +211,13 @@ def zone_rank_change(cube: DataFrame, rank_change_n: int = 50) -> DataFrame:
     ])
     before, after = F.col("first_year_trips"), F.col("last_year_trips")
     first_rank, last_rank = F.col("first_rank"), F.col("last_rank")
-    return (
-        zones.where(
+    if rank_change_n is not None:
+        zones = zones.where(
             (first_rank <= rank_change_n) | (last_rank <= rank_change_n)
             | first_rank.isNull() | last_rank.isNull()
         )
-        .select(
+    return (
+        zones.select(
             S.PU,
             F.coalesce("last_pickup_zone", "first_pickup_zone").alias("pickup_zone"),
             F.coalesce("last_pickup_borough", "first_pickup_borough").alias("pickup_borough"),

@@ -30,9 +30,9 @@ class Params:
     zones_overall: int | None = 25
     routes_top: int | None = 25
     min_route_trips: int = 1000
-    rank_change: int = 50
+    rank_change: int | None = 50
     flows_top: int | None = 500
-    replay_size: int = 5000
+    replay_size: int | None = 5000
     replay_seed: int = 42
     profiles_top: int | None = 1000
     full: tuple[str, str] = forecast.FULL
@@ -191,8 +191,9 @@ class Tables:
 
     @cached_property
     def ranked(self) -> Tables:
-        """Ranked tables with all their rows, as lookups need them; only the replay stays a sample."""
-        return self.with_params(zones_top=None, zones_overall=None, routes_top=None, flows_top=None, profiles_top=None)
+        """Ranked tables with all their rows, as lookups need them."""
+        return self.with_params(zones_top=None, zones_overall=None, routes_top=None, flows_top=None, profiles_top=None,
+                                rank_change=None, replay_size=None)
 
 
 def builders() -> dict[str, Callable[[Tables], DataFrame]]:
@@ -246,6 +247,9 @@ def builders() -> dict[str, Callable[[Tables], DataFrame]]:
         "od_flow_hour": lambda t: flows.od_flow_hour(t.need("trips"), t.params.flows_top),
         "od_flow_year_month": lambda t: flows.od_flow_year_month(t.need("trips"), t.params.flows_top),
         "map_replay_sample": lambda t: flows.map_replay_sample(
+            t.need("trips"), t.centroids, t.params.replay_size or Params.replay_size, t.params.replay_seed
+        ),
+        "map_replay_strata": lambda t: flows.map_replay_strata(
             t.need("trips"), t.centroids, t.params.replay_size, t.params.replay_seed
         ),
         "exterior_rings": lambda t: geo.exterior_rings(t.area_features),

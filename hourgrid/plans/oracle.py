@@ -84,6 +84,14 @@ RAW = _list(
 )
 RAW_D = ["passenger_count:double" if c == "passenger_count" else c for c in RAW]
 TYPED = [*RAW, "pickup_ts", "dropoff_ts", "trip_duration_min"]
+#: The cleaned trips' columns in order, with their types.
+CLEANED_TYPES = {
+    "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz", "PULocationID": "int", "DOLocationID": "int",
+    "trip_distance": "double", "passenger_count": "int", "fare_amount": "double", "total_amount": "double", "VendorID": "bigint",
+    "RatecodeID": "double", "store_and_fwd_flag": "string", "payment_type": "bigint", "tip_amount": "double", "tolls_amount": "double",
+    "airport_fee": "double", "pickup_ts": "timestamp_ntz", "dropoff_ts": "timestamp_ntz", "trip_duration_min": "double",
+}
+EXTRACT_TIES = _list("DOLocationID PULocationID dropoff_ts total_amount trip_distance fare_amount tip_amount VendorID payment_type passenger_count")
 LABELS = _list("vendor_name ratecode_desc payment_type_desc store_and_fwd_desc")
 TRIP = [*TYPED, *PU[1:], *DO[1:], *LABELS, "pickup_date", "hour", *PARTS, "route_key", "route_name"]
 CUBE = [*PU, "pickup_date", *PARTS, "hour", "trip_count", *CELL]
@@ -117,6 +125,7 @@ FILLED = _list(
     "avg_trip_distance avg_trip_duration_min avg_fare_amount avg_total_amount avg_passenger_count avg_speed_mph "
     "credit_card_share cash_share lag_1_hour_trip_count lag_24_hour_trip_count rolling_24h_avg_trip_count"
 )
+NUMERIC = _list("PULocationID year month day day_of_week is_weekend hour") + FILLED
 ERRORS = _list(
     "records actual_trip_count predicted_trip_count mean_error mae rmse mape total_absolute_error "
     "aggregate_error aggregate_absolute_error aggregate_absolute_percentage_error"
@@ -433,6 +442,11 @@ _MONTHLY_PREDICTED = """SELECT strftime(pickup_date, '%Y-%m') AS year_month, sum
  sum(predicted_trip_count) AS predicted_trip_count FROM predicted GROUP BY 1"""
 _PRIMARY = """SELECT year FROM (SELECT year, count(*) AS n, max(count(*)) OVER () AS most FROM daily_rows GROUP BY year)
  WHERE n >= 30 OR most < 30"""
+CTES["ring_texts"] = """SELECT id, ring_index, '[' || string_agg('[' || px || ',' || py || ']', ',' ORDER BY i) || ']' AS ring FROM points GROUP BY ALL"""
+CTES["hole_texts"] = """SELECT id, '[' || string_agg('[' || (x + 0.25e0 + dx * 0.5e0) || ',' || (y + 0.25e0 + dy * 0.5e0) || ']', ',' ORDER BY i) || ']' AS ring
+ FROM areas CROSS JOIN (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1), (4, 0, 0)) corners(i, dx, dy) WHERE id % 5 = 1 GROUP BY id"""
+CTES["borough_index"] = """SELECT pickup_borough AS borough, row_number() OVER (ORDER BY count(*) DESC, pickup_borough) - 1 AS place, count(*) OVER () AS n
+ FROM split WHERE dataset = 'train' AND pickup_borough IS NOT NULL GROUP BY 1"""
 CTES["daily_rows"] = demand("pickup_date, year, month, day, day_of_week, weekday_name, is_weekend")
 CTES["primary_set"] = _PRIMARY
 CTES["served_forecast"] = """SELECT pickup_date, year, month, strftime(pickup_date, '%Y-%m') AS year_month, day, hour, PULocationID,
@@ -452,6 +466,7 @@ class Limits:
     routes: int = ROUTES_TOP
     flows: int = FLOWS_TOP
     profiles: int = PROFILES_TOP
+    changes: int = RANK_CHANGE
 
 
 def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
@@ -461,6 +476,35 @@ def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
         # sources and cleaning
         "scan_trips_merged": ("SELECT * FROM raw_trips", RAW_D),
         "scan_zone_lookup": ("SELECT * FROM zones", _list("LocationID Borough Zone service_zone")),
+        "scan_geojson": (
+            """SELECT a.id AS LocationID, c_name AS zone, c_mktsegment AS borough, CASE WHEN a.id % 6 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type,
+ CASE WHEN a.id % 6 = 0 THEN '[[' || o.ring || coalesce(',' || h.ring, '') || '],[' || p.ring || ']]' ELSE '[' || o.ring || coalesce(',' || h.ring, '') || ']' END AS coordinates
+ FROM areas a JOIN ring_texts o ON o.id = a.id AND o.ring_index = 0 LEFT JOIN hole_texts h ON h.id = a.id LEFT JOIN ring_texts p ON p.id = a.id AND p.ring_index = 1""",
+            _list("LocationID zone borough geometry_type coordinates")),
+        "typed_csv_load": (
+            """SELECT * REPLACE (CAST(pickup_date AS VARCHAR) AS pickup_date), CASE WHEN pickup_date = (SELECT max(pickup_date) FROM daily_rows) THEN 'last' ELSE CAST(day AS VARCHAR) END AS code,
+ CAST(NULL AS VARCHAR) AS nothing FROM daily_rows""",
+            [f"{c}:BIGINT" if c in _INT else c for c in [*_list("pickup_date year month day day_of_week weekday_name is_weekend"), *d, "code", "nothing"]]),
+        "publish_with_provenance": (
+            "SELECT *, 'zones' AS _source_table, 'nation,region' AS _source_path, true AS imported FROM zones",
+            _list("LocationID Borough Zone service_zone _source_table _source_path imported")),
+        "dq_profile": (
+            " UNION ALL ".join(
+                f"""SELECT {i} AS position, '{c}' AS name, '{kind}' AS type, count(*) AS row_count, count(*) - count({c}) AS null_count,
+ {f'CAST(min({c}) AS DOUBLE)' if kind in ('int', 'bigint', 'double') else 'CAST(NULL AS DOUBLE)'} AS min_number,
+ {f'CAST(max({c}) AS DOUBLE)' if kind in ('int', 'bigint', 'double') else 'CAST(NULL AS DOUBLE)'} AS max_number,
+ {'CAST(NULL AS VARCHAR)' if kind in ('int', 'bigint', 'double') else f'CAST(min({c}) AS VARCHAR)'} AS min_text,
+ {'CAST(NULL AS VARCHAR)' if kind in ('int', 'bigint', 'double') else f'CAST(max({c}) AS VARCHAR)'} AS max_text FROM cleaned"""
+                for i, (c, kind) in enumerate(CLEANED_TYPES.items())),
+            ["position:INTEGER", "name", "type", "row_count", "null_count:BIGINT", "min_number:DOUBLE", "max_number:DOUBLE", "min_text", "max_text"]),
+        "feature_pipeline": (
+            "SELECT PULocationID AS zone, pickup_date AS date, hour AS at_hour, "
+            "array_to_string(list_transform(range((SELECT any_value(n) FROM borough_index)), lambda i: CASE WHEN i = place THEN '1' ELSE '0' END), ',') AS one_hot, "
+            + ", ".join(f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0) AS {c}_scaled" for c in NUMERIC)
+            + " FROM split LEFT JOIN borough_index ON borough = pickup_borough WHERE dataset = 'train'",
+            ["zone:INTEGER", "date", "at_hour:INTEGER", "one_hot", *[f"{c}_scaled:DOUBLE" for c in NUMERIC]]),
+        "extract_trip_enriched": (
+            extract("SELECT * FROM trips", ", ".join(f"{c} NULLS FIRST" for c in ["pickup_ts", *EXTRACT_TIES])), TRIP),
         "scan_feature_table": ("SELECT * FROM cube", CUBE),
         "scan_centroids": (
             """SELECT id AS LocationID, coalesce(cx, mx) AS centroid_lon, coalesce(cy, my) AS centroid_lat
@@ -577,7 +621,7 @@ def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
  (b.total_trips - a.total_trips) / a.total_trips AS trip_count_pct_change, a.total_revenue AS first_year_revenue, b.total_revenue AS last_year_revenue
  FROM (SELECT * FROM ranked_years WHERE year = (SELECT min(year) FROM cube)) a
  FULL JOIN (SELECT * FROM ranked_years WHERE year = (SELECT max(year) FROM cube)) b USING (PULocationID)
- WHERE a.zone_rank <= {RANK_CHANGE} OR b.zone_rank <= {RANK_CHANGE} OR a.zone_rank IS NULL OR b.zone_rank IS NULL""",
+ WHERE a.zone_rank <= {n.changes} OR b.zone_rank <= {n.changes} OR a.zone_rank IS NULL OR b.zone_rank IS NULL""",
             _list("PULocationID pickup_zone pickup_borough first_year last_year first_rank last_rank rank_improvement first_year_trips "
                   "last_year_trips trip_count_change trip_count_pct_change first_year_revenue last_year_revenue")),
         "weekday_weekend_by_year": (
@@ -879,7 +923,7 @@ def render(body: str, columns: list[str]) -> str:
 
 TABLES = _tables(Limits())
 #: The ranked tables with all their rows.
-RANKED = _tables(Limits(*[2**31 - 1] * 5))
+RANKED = _tables(Limits(*[2**31 - 1] * 6))
 
 
 def lookup(table: str, filters: dict, sort: list[str], limit: int | None) -> str:
@@ -893,8 +937,90 @@ def lookup(table: str, filters: dict, sort: list[str], limit: int | None) -> str
     return render(f"SELECT * FROM ({body}) WHERE {where}{tail}", columns)
 
 
+def story(sections: dict[str, tuple[str, dict, list[str], int | None]]) -> str:
+    """SQL of a bundle: every section's lookup, one row a field."""
+    parts = []
+    for name, (table, filters, sort, limit) in sections.items():
+        body, columns = RANKED[table]
+        where = " AND ".join(f"{c} = " + (f"'{v}'" if isinstance(v, str) else str(v)) for c, v in filters.items()) or "true"
+        order = ", ".join(f"{x[1:]} DESC NULLS LAST" if x.startswith("-") else f"{x} ASC NULLS FIRST" for x in sort) or "1"
+        fields = []
+        for column in columns:
+            plain = column.partition(":")[0]
+            number = _typed(column) != plain and ":text" not in column
+            fields.append(f"""{{'field': '{plain}', 'number': {f'CAST({plain} AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'},
+ 'text': {'CAST(NULL AS VARCHAR)' if number else f'CAST({plain} AS VARCHAR)'}}}""")
+        parts.append(f"""SELECT '{name}' AS section, position, unnest([{', '.join(fields)}], recursive := true) FROM (
+ SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({body}) WHERE {where}) WHERE {f'position <= {limit}' if limit else 'true'})""")
+    return render(" UNION ALL ".join(parts), ["section", "position:INTEGER", "field", "number:DOUBLE", "text"])
+
+
 def sql() -> dict[str, str]:
-    return {name: render(body, columns) for name, (body, columns) in TABLES.items()}
+    return {name: render(body, columns) for name, (body, columns) in TABLES.items()} | {
+        f"story_{name}": story(sections) for name, sections in STORIES.items()
+    } | {"lk_map_replay": REPLAY_LOOKUP}
+
+
+_BODY, _COLUMNS = TABLES["map_replay_sample"]
+#: A draw of its own from the trips of the year.
+REPLAY_LOOKUP = render(
+    _BODY.replace("FROM replay_pool", f"""FROM (SELECT t.* FROM trips t WHERE year = 1997 AND PULocationID IN (SELECT LocationID FROM zone_spots)
+ AND DOLocationID IN (SELECT LocationID FROM zone_spots) ORDER BY md5('{SEED}' || '|' || PULocationID || '|' || DOLocationID || '|' ||
+ CAST(epoch(pickup_ts) AS BIGINT) || '|' || CAST(epoch(dropoff_ts) AS BIGINT)), total_amount, trip_distance, trip_duration_min LIMIT 20)"""), _COLUMNS)
+
+#: The bundles as they are registered: section -> table, filters, sort, limit.
+STORIES: dict[str, dict[str, tuple[str, dict, list[str], int | None]]] = {
+    "overview": {
+        "kpi": ("kpi_summary", {}, [], None),
+        "yearly_summary": ("yearly_summary", {}, ["year"], None),
+        "year_month_demand": ("year_month_demand", {"year": 1998}, ["year", "month"], None),
+        "hourly_demand": ("year_hourly_pattern", {"year": 1998}, ["hour"], None),
+        "weekday_hour_heatmap": ("year_weekday_hour_heatmap", {"year": 1998}, ["day_of_week", "hour"], None),
+        "top_zones": ("top_zones_by_year", {"year": 1998}, ["zone_rank_in_year", "PULocationID"], 5),
+        "top_routes": ("top_routes_overall", {}, ["route_rank", "route_key"], 4),
+    },
+    "temporal": {
+        "yearly_summary": ("yearly_summary", {}, ["year"], None),
+        "year_month_demand": ("year_month_demand", {}, ["year", "month"], None),
+        "hourly_pattern": ("hourly_demand", {}, ["hour"], None),
+        "weekday_hour_heatmap": ("weekday_hour_heatmap", {}, ["day_of_week", "hour"], None),
+        "weekday_weekend_hourly": ("weekday_weekend_hourly", {}, ["is_weekend", "hour"], None),
+        "rush_hour_by_year": ("rush_hour_by_year", {}, ["year", "time_period_order"], None),
+        "borough_year_month": ("borough_year_month", {"pickup_borough": "ASIA"}, ["pickup_borough", "year", "month"], None),
+        "borough_hourly_pattern": ("borough_hourly_pattern", {"pickup_borough": "ASIA"}, ["pickup_borough", "hour"], None),
+        "month_of_year_pattern": ("month_of_year_pattern", {}, ["month"], None),
+        "revenue_efficiency": ("revenue_efficiency_temporal", {}, ["year", "month"], None),
+    },
+    "spatial": {
+        "top_zones": ("top_zones_by_year", {"year": 1997}, ["zone_rank_in_year", "PULocationID"], 6),
+        "top_zones_by_hour": ("top_zones_by_hour", {"hour": 8}, ["hour", "zone_rank_in_hour", "PULocationID"], 6),
+        "zone_rank_change": ("zone_rank_change", {}, ["-rank_improvement", "-trip_count_change", "PULocationID"], 6),
+    },
+    "routes": {
+        "top_routes": ("top_routes_overall", {}, ["route_rank", "route_key"], 6),
+        "top_airport_routes": ("top_airport_routes", {}, ["route_rank", "-trip_count", "route_key"], 6),
+        "top_inter_borough_routes": ("top_inter_borough_routes", {}, ["route_rank", "-trip_count", "route_key"], 6),
+        "route_borough_matrix": ("route_borough_matrix", {}, ["-total_trips", "pickup_borough", "dropoff_borough"], None),
+        "pickup_dropoff_borough_matrix": ("pickup_dropoff_borough_matrix", {}, ["-trip_count", "pickup_borough", "dropoff_borough"], None),
+        "airport_trip_summary": ("airport_trip_summary", {}, ["year", "airport_trip_type"], None),
+        "route_efficiency_ranking": ("route_efficiency_ranking", {}, ["-revenue_per_mile", "-trip_count", "route_key"], 6),
+        "route_tip_ranking": ("route_tip_ranking", {}, ["-route_tip_share", "-avg_tip_amount", "route_key"], 6),
+    },
+    "business": {
+        "payment_type": ("payment_type_by_year", {"year": 1999}, ["-trip_count"], None),
+        "trip_behavior_by_hour": ("trip_behavior_by_hour", {}, ["hour"], None),
+    },
+    "forecast": {
+        "model_comparison": ("model_comparison", {}, ["RMSE"], None),
+        "model_evaluation_metrics": ("model_evaluation_metrics", {}, ["RMSE"], None),
+        "monthly_actual_predicted": ("forecast_monthly", {}, ["year_month"], None),
+        "daily_actual_predicted": ("forecast_daily", {}, ["pickup_date"], None),
+        "error_by_hour": ("error_by_hour", {}, ["hour"], None),
+        "error_by_borough": ("error_by_borough", {}, ["-aggregate_absolute_error"], None),
+        "zone_accuracy": ("zone_accuracy", {}, ["-aggregate_absolute_error", "PULocationID"], 7),
+        "weekday_hour_error_heatmap": ("weekday_hour_error_heatmap", {}, ["day_of_week", "hour"], None),
+    },
+}
 
 
 #: What every registered lookup stands for, written out: table, filters, sort ("-" for descending), limit.
@@ -931,7 +1057,6 @@ LOOKUPS: dict[str, tuple[str, dict, list[str], int | None]] = {
     "lk_map_dropoffs": ("dropoff_zone_hour_features", {"month": 5, "dropoff_borough": "ASIA"}, ["-trip_count", "DOLocationID", "dropoff_date", "hour"], 100),
     "lk_map_flows_hour": ("od_flow_hour", {"hour": 17, "pickup_borough": "AMERICA"}, ["hour", "route_rank_in_hour", "route_key"], 500),
     "lk_map_flows_month": ("od_flow_year_month", {"year_month": "1999-02"}, ["year", "month", "route_rank_in_year_month", "route_key"], 500),
-    "lk_map_replay": ("map_replay_sample", {"year": 1997}, ["pickup_epoch_ms", "replay_trip_id"], 20),
     "lk_profiles": ("zone_profile_summary", {"pickup_borough": "AFRICA"}, ["-total_trips", "PULocationID"], 300),
     "lk_profiles_zone": ("zone_profile_summary", {"PULocationID": 7}, [], None),
     "lk_profiles_routes": ("route_profile_summary", {"pickup_borough": "ASIA", "dropoff_borough": "EUROPE"}, ["route_rank", "route_key"], 300),

@@ -89,7 +89,29 @@ def scan_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "areas")
     FX.area_documents(FX.customer_areas(spark, sf_dir)).write.text(path)
-    return SRC.scan_geojson(spark, path, lines=True)
+    return SRC.scan_geojson(spark, path)
+
+
+def typed_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily demand through CSV without a declared schema; ``code`` is a number but for the last day."""
+    path = scratch_path(spark, "daily")
+    daily = tables(spark, sf_dir).table("daily_demand")
+    last = F.col("pickup_date") == daily.agg(F.max("pickup_date")).scalar()
+    sinks.write_table_csv(daily.withColumns({
+        "code": F.when(last, F.lit("last")).otherwise(F.col("day").cast("string")),
+        "nothing": F.lit(None).cast("string"),
+    }), path)
+    return SRC.inferred_csv(spark, path)
+
+
+def publish_with_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones published twice, the second time whole; read back with their provenance."""
+    target = scratch_path(spark, "published")
+    zones = FX.zones(spark, sf_dir)
+    sinks.publish(zones.where("LocationID < 10"), target, "zones", "nation,region", "first")
+    sinks.publish(zones, target, "zones", "nation,region", "second")
+    back = sinks.read_published(spark, target)
+    return back.withColumn("imported", F.col("_imported_at").isNotNull()).drop("_imported_at")
 
 
 # --- streaming -------------------------------------------------------------------------------
@@ -128,8 +150,14 @@ def batch_speed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models ----------------------------------------------------------------------------------
 
 def feature_pipeline(t: Tables) -> DataFrame:
-    ready = forecast.feature_pipeline(t.train)
-    return ready.select(S.PU, "pickup_date", "hour", vector_to_array("features").alias("features"))
+    """The feature vector of every training row: one-hot digits, then a column a scaled number."""
+    ready = forecast.feature_pipeline(t.train).withColumn("v", vector_to_array("features"))
+    digits = F.size("v") - len(forecast.NUMERIC)
+    return ready.select(
+        F.col(S.PU).alias("zone"), F.col("pickup_date").alias("date"), F.col("hour").alias("at_hour"),
+        F.array_join(F.transform(F.slice("v", F.lit(1), digits), lambda x: x.cast("int").cast("string")), ",").alias("one_hot"),
+        *[F.get("v", digits + i).alias(f"{name}_scaled") for i, name in enumerate(forecast.NUMERIC)],
+    )
 
 
 def contradicting(cube: DataFrame) -> DataFrame:
@@ -268,6 +296,16 @@ def lk_filters(t: Tables) -> DataFrame:
     )
 
 
+STORIES: dict[str, Callable] = {
+    "overview": lambda table: lookups.overview(table, year=1998, zone_limit=5, route_limit=4),
+    "temporal": lambda table: lookups.temporal_story(table, borough="ASIA"),
+    "spatial": lambda table: lookups.spatial_story(table, year=1997, hour=8, zone_limit=6),
+    "routes": lambda table: lookups.routes_story(table, route_limit=6),
+    "business": lambda table: lookups.business_story(table, year=1999),
+    "forecast": lambda table: lookups.forecast_story(table, zone_limit=7),
+}
+
+
 # --- registry --------------------------------------------------------------------------------
 
 def _over_tables() -> dict[str, Callable[[Tables], DataFrame]]:
@@ -326,6 +364,9 @@ def _over_tables() -> dict[str, Callable[[Tables], DataFrame]]:
         "dq_unexpected_months": lambda t: quality.dq_unexpected_months(t.cube, "1996-06", "2000-06"),
         "dq_inconsistent_rows": lambda t: quality.dq_inconsistent_rows(contradicting(t.cube)),
         "dq_date_contradictions": lambda t: quality.dq_date_consistency(contradicting(t.cube)),
+        "dq_profile": lambda t: quality.column_profile(t.cleaned).drop("distinct_estimate", "samples"),
+        "extract_trip_enriched": lambda t: features.sample_extract(t.trips, [*features.SAMPLE_ORDERS["trip_enriched"], *O.EXTRACT_TIES], digits=None),
+        **{f"story_{name}": (lambda t, name=name: lookups.bundle(STORIES[name](t.ranked.table))) for name in STORIES},
         **{
             f"extract_{name}": (lambda t, name=name: features.sample_extract(t.table(name), features.SAMPLE_ORDERS[name], digits=None))
             for name in ("zone_daily_features", "borough_hour_features", "top_routes")
@@ -362,6 +403,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         f.__name__: f for f in (
             scan_trips_merged, scan_zone_lookup, scan_feature_table, scan_centroids, scan_geojson,
+            typed_csv_load, publish_with_provenance,
             stream_zone_demand, stream_zone_demand_parts, stream_hotspots, batch_speed_merge,
             train_models, trained_reload, trained_coverage,
         )
