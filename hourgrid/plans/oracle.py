@@ -853,10 +853,15 @@ def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
             f"SELECT * FROM ({_flows('hour', 'hour', 'route_rank_in_hour', n.flows)}) WHERE pickup_borough = 'EUROPE' OR dropoff_borough = 'EUROPE'",
             ["hour", *ROUTE, *FLOW, "route_rank_in_hour"]),
         # streaming extension
+        "batch_speed_live": ("SELECT * FROM event_hours", _list("window_start window_end PULocationID trip_count total_revenue")),
+        "stream_replay_demand": ("SELECT * FROM closed_hours", _list("window_start window_end PULocationID trip_count total_revenue")),
         "stream_zone_demand": ("SELECT * FROM closed_hours", _list("window_start window_end PULocationID trip_count total_revenue")),
         "stream_zone_demand_parts": ("SELECT * FROM closed_hours", _list("window_start window_end PULocationID trip_count total_revenue")),
         "stream_hotspots": (
             """SELECT * FROM (SELECT *, dense_rank() OVER (PARTITION BY window_start ORDER BY trip_count DESC, total_revenue DESC) AS hotspot_rank
+ FROM closed_hours) WHERE hotspot_rank <= 3""", _list("window_start window_end PULocationID trip_count total_revenue hotspot_rank:INTEGER")),
+        "stream_replay_hotspots": (
+            """SELECT * FROM (SELECT *, dense_rank() OVER (PARTITION BY window_start ORDER BY trip_count DESC, total_revenue DESC) AS hotspot_rank
  FROM closed_hours) WHERE hotspot_rank <= 3""", _list("window_start window_end PULocationID trip_count total_revenue hotspot_rank:INTEGER")),
         "batch_speed_merge": (
             f"SELECT * FROM event_hours WHERE window_start < TIMESTAMP '{CUTOFF}' UNION ALL SELECT * FROM closed_hours WHERE window_start >= TIMESTAMP '{CUTOFF}'",

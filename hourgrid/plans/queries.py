@@ -19,6 +19,8 @@ from hourgrid.sources import fixture as FX
 from hourgrid.sources import sinks, trips as SRC
 from hourgrid.streaming import demand as ST
 
+REPLAY_SECONDS = 4 * 86_400  # of event time in a replayed file
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIXTURE_PARAMS = Params(
@@ -147,6 +149,34 @@ def batch_speed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.batch_speed_merge(batch, stream_zone_demand(spark, sf_dir), O.CUTOFF)
 
 
+def batch_speed_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch windows before the cut-off, live ones from it on, the last open hours included."""
+    target, log = scratch_path(spark, "live"), scratch_path(spark, "live-log")
+    ST.start_live_demand(_event_stream(spark, sf_dir), target, log).awaitTermination()
+    batch = ST.zone_demand(FX.event_trips(FX.read(spark, sf_dir, "events")))
+    return ST.batch_speed_merge(batch, ST.live_demand(spark, target), O.CUTOFF)
+
+
+def _replayed(spark: SparkSession, sf_dir: str, start) -> str:
+    """The folder that ``start`` filled from a replay of the events, in two runs of both."""
+    staged, source, target, log = (scratch_path(spark, f"replay-{n}") for n in ("staged", "files", "target", "log"))
+    events = FX.event_trips(FX.read(spark, sf_dir, "events"))
+    ST.stage_replay(events, staged, seconds=REPLAY_SECONDS)
+    for most in (3, None):
+        ST.replay(spark, staged, source, most=most)
+        stream = ST.trip_stream(spark, source, events.schema, per_batch=1)
+        start(stream, target, log).awaitTermination()
+    return target
+
+
+def stream_replay_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_replayed(spark, sf_dir, ST.start_zone_demand))
+
+
+def stream_replay_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_replayed(spark, sf_dir, ST.start_hotspots)).drop("batch")
+
+
 # --- models ----------------------------------------------------------------------------------
 
 def feature_pipeline(t: Tables) -> DataFrame:
@@ -405,6 +435,7 @@ def queries() -> dict[str, Query]:
             scan_trips_merged, scan_zone_lookup, scan_feature_table, scan_centroids, scan_geojson,
             typed_csv_load, publish_with_provenance,
             stream_zone_demand, stream_zone_demand_parts, stream_hotspots, batch_speed_merge,
+            batch_speed_live, stream_replay_demand, stream_replay_hotspots,
             train_models, trained_reload, trained_coverage,
         )
     }

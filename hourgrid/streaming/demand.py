@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from time import sleep
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -84,3 +87,65 @@ def batch_speed_merge(batch: DataFrame, speed: DataFrame, cutoff: str, time: str
     """Batch rows before the cut-off and stream rows from it on, under one schema."""
     edge = F.lit(cutoff).cast("timestamp_ntz")
     return batch.where(F.col(time) < edge).unionByName(speed.where(F.col(time) >= edge))
+
+
+# --- live view: open windows too --------------------------------------------------------------
+
+def start_live_demand(trips: DataFrame, target: str, checkpoint: str, available_now: bool = True, **kw) -> StreamingQuery:
+    """Every changed window, open ones included, as the update of its micro-batch.
+
+    A batch overwrites its own folder, so one that is replayed leaves no copies; ``live_demand``
+    reads the last update of every window and zone.
+    """
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    writer = (
+        zone_demand(trips, **kw).writeStream.outputMode("update")
+        .foreachBatch(put).option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def live_demand(spark: SparkSession, target: str) -> DataFrame:
+    """The newest row of every window and zone (an upsert on reading; one fold per key, map-side)."""
+    updates = spark.read.parquet(target)
+    keys = ["window_start", "window_end", S.PU]
+    newest = F.max_by(F.struct("trip_count", "total_revenue"), "batch").alias("n")
+    return updates.groupBy(*keys).agg(newest).select(*keys, "n.*")
+
+
+# --- replay of history as a watched stream of small files ---------------------------------------
+
+_SLICE = "replay_slice"
+
+
+def stage_replay(trips: DataFrame, folder: str, seconds: int, time: str = "pickup_ts") -> None:
+    """Deal history by slices of event time, ``seconds`` long, in one pass; a slice is a partition folder."""
+    stamp = F.unix_timestamp(F.col(time).cast("timestamp"))
+    sliced = trips.where(F.col(time).isNotNull()).withColumn(_SLICE, F.floor(stamp / seconds) * seconds)
+    sliced.hint("rebalance", _SLICE).write.mode("overwrite").partitionBy(_SLICE).parquet(folder)
+
+
+def replay(spark: SparkSession, staged: str, target: str, speed_up: float | None = None, most: int | None = None) -> int:
+    """Put the staged slices that ``target`` does not have yet into it, oldest first; how many.
+
+    A slice is one file, which appears whole by a rename, so a replay that was stopped goes on
+    behind its last file. Time runs ``speed_up`` times as fast as it did (None: without
+    waiting); ``most`` slices are put. Slices should be short enough for small files.
+    """
+    slices = spark.read.parquet(staged)
+    known = sorted(r[_SLICE] for r in slices.select(_SLICE).distinct().collect())  # one a slice of the calendar
+    try:
+        last = spark.read.parquet(target).agg(F.max(_SLICE)).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    todo = [s for s in known if last is None or s > last][:most]
+    for before, at in zip([None, *todo], todo):
+        if speed_up and before is not None:
+            sleep((at - before) / speed_up)
+        rows = slices.where(F.col(_SLICE) == at)
+        rows.coalesce(1).write.mode("append").parquet(target)
+    return len(todo)

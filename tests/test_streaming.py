@@ -64,3 +64,33 @@ def test_batch_and_speed_meet_at_the_cutoff(spark):
     table = ST.zone_demand(rows)
     merged = ST.batch_speed_merge(table, table.withColumn("trip_count", table.trip_count + 10), "2024-01-01 09:00:00")
     assert sorted(values(merged, "trip_count")) == [1, 11, 11]
+
+
+def test_live_view_equals_the_batch_at_every_cutoff(spark, tmp_path):
+    source, target, log = (str(tmp_path / n) for n in ("in", "live", "log"))
+    parts = [[hour(8, 5), hour(8, 50, amount=2.0)], [hour(9, 20), hour(8, 55)], [hour(10, 1, zone=2), hour(9, 59)], [hour(10, 30)]]
+    for part in parts:
+        put(spark, source, *part)
+        run(spark, ST.start_live_demand, source, target, log)
+    batch = ST.zone_demand(spark.createDataFrame([r for p in parts for r in p], DDL))
+    columns = ("window_start", "PULocationID", "trip_count", "total_revenue")
+    want = sorted(values(batch, *columns))
+    live = ST.live_demand(spark, target)
+    assert sorted(values(live, *columns)) == want
+    for h in range(7, 12):
+        assert sorted(values(ST.batch_speed_merge(batch, live, f"2024-01-01 {h:02d}:00:00"), *columns)) == want
+
+
+def test_replay_goes_on_behind_its_last_file(spark, tmp_path):
+    staged, source, target, log = (str(tmp_path / n) for n in ("staged", "files", "out", "log"))
+    rows = [hour(h, m) for h in (20, 3, 15, 8, 11) for m in (0, 30)] + [(None, 1, 1.0)]
+    ST.stage_replay(spark.createDataFrame(rows, DDL), staged, seconds=1800)
+    assert ST.replay(spark, staged, source, most=4) == 4
+    times = sorted(values(spark.read.parquet(source), "pickup_ts"))
+    assert times == [datetime(2024, 1, 1, h, m) for h in (3, 8) for m in (0, 30)]
+    run(spark, ST.start_zone_demand, source, target, log)
+    assert ST.replay(spark, staged, source, speed_up=1e7) == 6  # a stop and a restart of both
+    assert ST.replay(spark, staged, source) == 0
+    run(spark, ST.start_zone_demand, source, target, log)
+    out = spark.read.parquet(target)
+    assert sorted(values(out, "window_start", "trip_count")) == [(datetime(2024, 1, 1, h), 2) for h in (3, 8, 11, 15)]
