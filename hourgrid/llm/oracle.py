@@ -119,6 +119,39 @@ WITH crc AS MATERIALIZED (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM placed
 """
 
+TRIE = f"""
+WITH crc AS MATERIALIZED (
+{CRC_ENTRIES}
+), c AS MATERIALIZED (
+  SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS digests, list(size ORDER BY turn NULLS FIRST, digest) AS sizes FROM (
+    SELECT conv_id, turn, octet_length(encode(COALESCE(text, ''))) AS size,
+           md5(length(COALESCE(role, '')) || ':' || COALESCE(role, '') || COALESCE(text, '')) AS digest FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id
+), o AS (
+  SELECT conv_id, digests, sizes, xor({CRC_OF_HEX}, 4294967295) % 9 AS heads
+  FROM (SELECT *, hex(encode(CAST(conv_id AS VARCHAR))) AS h FROM c), crc
+), r AS (
+  SELECT o.conv_id, list_concat(COALESCE(b.digests[1 : heads], []), o.digests[heads + 1 :]) AS digests,
+         list_concat(COALESCE(b.sizes[1 : heads], []), o.sizes[heads + 1 :]) AS sizes
+  FROM o LEFT JOIN c b ON b.conv_id = o.conv_id - o.conv_id % 5
+), p AS MATERIALIZED (
+  SELECT conv_id, d, len(digests) AS length, COALESCE(sizes[d], 0) AS bytes, md5(array_to_string(digests[1 : d], '')) AS key,
+         CASE WHEN d > 0 THEN md5(array_to_string(digests[1 : d - 1], '')) END AS above
+  FROM (SELECT *, unnest(range(len(digests) + 1)) AS d FROM r)
+), n AS MATERIALIZED (
+  SELECT key, above, d, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = d), '')) AS ends_sha256 FROM p GROUP BY key, above, d
+), k AS (
+  SELECT above AS key, count(*) AS n_children FROM n GROUP BY above
+), s AS (
+  SELECT top, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+  FROM (SELECT DISTINCT a.key AS top, b.key FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.d >= a.d) JOIN n USING (key) LEFT JOIN k USING (key) GROUP BY top
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, COALESCE(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n u ON u.key = n.above LEFT JOIN k ON k.key = n.key JOIN s ON s.top = n.key
+"""
+
 SQL = {
     "op1_warc_archive": WARC,
     "op2_line_templates": templates.ORACLE,
@@ -126,5 +159,6 @@ SQL = {
     "op4_remove_repeated_windows": WINDOWS,
     "op5_chat_format": CHAT,
     "op7_decontaminate": LEAKS,
+    "op12_prefix_trie": TRIE,
     "op13_importance_resample": RESAMPLE,
 }

@@ -56,3 +56,30 @@ def test_against_plain_python(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         empty = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
         assert stage(spark, empty, str(tmp_path)).columns == empty.columns
+
+
+CLASHES = "kept int, n_words string, row long, n_hit int, size string, source_size int, target string, copies int, taken string, __row int, texts int"
+
+
+def test_columns_of_any_name_stay(spark, tmp_path):
+    """Equal ids and texts of two sources, columns named like results, very long and null texts, empty tables."""
+    ready(spark)
+    rng = random.Random(4)
+    say = lambda n: " ".join(rng.choice("abcdefghijklmnopqrst") + rng.choice("aeiou") + str(rng.randrange(50)) for _ in range(n))
+    texts = [say(40) for _ in range(12)] + [say(60_000), None, ""]
+    rows = [(i, t, "en", f"s{i % 3}", 7, 1, "mine", 3, 4, "big", 5, "aim", 6, "got", 8, 9) for i, t in enumerate(texts)]
+    rows += [(0, texts[0], "en", "a", 7, 1, "mine", 3, 4, "big", 5, "aim", 6, "got", 8, 9)]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}")
+    spark.createDataFrame([(1, "no such words in any text at all of these here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, df, str(tmp_path)).collect()
+        assert got and got[0].__fields__[: len(df.columns)] == df.columns, name
+        assert {tuple(r)[5:16] for r in got} == {(1, "mine", 3, 4, "big", 5, "aim", 6, "got", 8, 9)}, name
+        assert stage(spark, df.limit(0), str(tmp_path)).columns[: len(df.columns)] == df.columns
+        if name == "near_duplicates":
+            assert [r.source for r in got if r.doc_id == 0] == ["a"]  # the first by source, on every run
+        if name == "mixing":
+            assert all(r.mix_copies >= 1 and r.mix_taken == r.mix_copies * r.mix_size for r in got)
+            assert stage(spark, df.limit(0), str(tmp_path)).count() == 0
+        if name == "quality_rules":
+            assert {r.doc_id for r in got} == set(range(13))
