@@ -92,6 +92,13 @@ CLEANED_TYPES = {
     "airport_fee": "double", "pickup_ts": "timestamp_ntz", "dropoff_ts": "timestamp_ntz", "trip_duration_min": "double",
 }
 EXTRACT_TIES = _list("DOLocationID PULocationID dropoff_ts total_amount trip_distance fare_amount tip_amount VendorID payment_type passenger_count")
+#: What the tables built on a stage use of it.
+CUBE_USED = [*PU[:3], "pickup_date", *PARTS, *_list(
+    "hour trip_count total_revenue total_fare_amount total_trip_distance total_trip_duration_min total_passenger_count "
+    "credit_card_trip_count cash_trip_count")]
+ROUTES_USED = ["route_rank", *ROUTE, *_list("trip_count active_days total_revenue total_trip_distance total_trip_duration_min")]
+TRIPS_USED = [*_list("pickup_ts dropoff_ts pickup_date year month hour"), *ROUTE, *_list(
+    "trip_duration_min trip_distance fare_amount total_amount tip_amount passenger_count payment_type")]
 LABELS = _list("vendor_name ratecode_desc payment_type_desc store_and_fwd_desc")
 TRIP = [*TYPED, *PU[1:], *DO[1:], *LABELS, "pickup_date", "hour", *PARTS, "route_key", "route_name"]
 CUBE = [*PU, "pickup_date", *PARTS, "hour", "trip_count", *CELL]
@@ -488,6 +495,12 @@ def _tables(n: Limits) -> dict[str, tuple[str, list[str]]]:
         "publish_with_provenance": (
             "SELECT *, 'zones' AS _source_table, 'nation,region' AS _source_path, true AS imported FROM zones",
             _list("LocationID Borough Zone service_zone _source_table _source_path imported")),
+        "dq_required_columns": (
+            " UNION ALL ".join(
+                f"SELECT '{stage}' AS stage, (SELECT count(*) FROM {stage if stage != 'trips' else 'cleaned'}) AS row_count, unnest({wanted}) AS \"column\", unnest({[c in there for c in wanted]}) AS present"
+                for stage, wanted, there in (
+                    ("cube", CUBE_USED, [c for c in CUBE if c != "total_revenue"]), ("routes", ROUTES_USED, ROUTES), ("trips", TRIPS_USED, TYPED))),
+            ["stage", "row_count", "\"column\"", "present"]),
         "dq_profile": (
             " UNION ALL ".join(
                 f"""SELECT {i} AS position, '{c}' AS name, '{kind}' AS type, count(*) AS row_count, count(*) - count({c}) AS null_count,

@@ -394,6 +394,7 @@ def _over_tables() -> dict[str, Callable[[Tables], DataFrame]]:
         "dq_unexpected_months": lambda t: quality.dq_unexpected_months(t.cube, "1996-06", "2000-06"),
         "dq_inconsistent_rows": lambda t: quality.dq_inconsistent_rows(contradicting(t.cube)),
         "dq_date_contradictions": lambda t: quality.dq_date_consistency(contradicting(t.cube)),
+        "dq_required_columns": lambda t: S.missing_columns({"cube": t.cube.drop("total_revenue"), "routes": t.routes, "trips": t.cleaned}),
         "dq_profile": lambda t: quality.column_profile(t.cleaned).drop("distinct_estimate", "samples"),
         "extract_trip_enriched": lambda t: features.sample_extract(t.trips, [*features.SAMPLE_ORDERS["trip_enriched"], *O.EXTRACT_TIES], digits=None),
         **{f"story_{name}": (lambda t, name=name: lookups.bundle(STORIES[name](t.ranked.table))) for name in STORIES},

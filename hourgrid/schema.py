@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PICKUP_TIME = "tpep_pickup_datetime"
@@ -155,6 +156,18 @@ def require_columns(df: DataFrame, columns: Iterable[str], table: str) -> DataFr
     return df
 
 
+def missing_columns(stages: dict[str, DataFrame]) -> DataFrame:
+    """A row per stage and column its tables use: how many rows the stage has, and whether the column is there."""
+    out = None
+    for name, df in stages.items():
+        wanted = F.array(*[
+            F.struct(F.lit(c).alias("column"), F.lit(c in df.columns).alias("present")) for c in dict.fromkeys(STAGE_INPUTS[name])
+        ])
+        lines = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count", F.inline(wanted))
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
 def lead_with(df: DataFrame, order: Iterable[str]) -> DataFrame:
     """Put the listed columns first (those that exist); the others keep their order."""
     first = [c for c in order if c in df.columns]

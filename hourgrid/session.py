@@ -48,8 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh sub-path of the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh sub-path of the shared folder, with its scheme.
+
+    A folder named without one is in Spark's default file system. Qualified here once, on the
+    driver, it is the same place for Spark and for code that opens files in tasks.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    full = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    return f"{full.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
