@@ -9,10 +9,10 @@ Index: captures are range-partitioned and sorted by the reversed-host key of the
 written as compressed blocks of ``BLOCK_LINES`` lines. The first key of every block, with its
 file, offset and length, is the sparse directory: one row a block.
 
-Lookup: the blocks that can hold a key are found by binary search in the directory, read by
-range and binary-searched in turn, and the records found are read by range. To read all,
-every block is read once and records are read in the order of their files, neighbours in one
-range.
+Lookup: the blocks that can hold a key are found by binary search in the directory; a block is
+then read by range, once, and binary-searched for all keys that were sent to it; the records
+found are read in the order of their files, neighbours in one range. A key of very many
+captures is a row a block, so its blocks are searched by many tasks.
 """
 
 from __future__ import annotations
@@ -202,78 +202,111 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=[x.split()[0] for x in RECORD.split(", ")])
 
 
-def _captures_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for file, at, size in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "size"))):
-            lines = block_lines(read_bytes(file, at, size))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*lines)], names=["key", "file", "at", "size"])
-
-
 def _records_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of captures that come sorted by file and offset, read in ranges of RANGE_BYTES at most."""
 
     def read(held: list[tuple]) -> pa.RecordBatch:
         file, begin = held[0][0], held[0][1]
         data = read_bytes(file, begin, held[-1][1] + held[-1][2] - begin)
-        return _rows([_read_record(data[at - begin : at - begin + size]) for _, at, size in held])
+        found = _rows([_read_record(data[at - begin : at - begin + size]) for _, at, size, _ in held])
+        return pa.RecordBatch.from_arrays([pa.array([x[3] for x in held], pa.string()), *found.columns], names=["key", *found.schema.names])
 
     held: list[tuple] = []
     for batch in batches:
-        for file, at, size in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "size"))):
+        for file, at, size, key in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "size", "key"))):
             if held and (held[-1][0] != file or held[-1][1] + held[-1][2] != at or at + size - held[0][1] > RANGE_BYTES):
                 yield read(held)
                 held = []
-            held.append((file, at, size))
+            held.append((file, at, size, key))
     if held:
         yield read(held)
 
 
 def read_archives(directory: DataFrame) -> DataFrame:
-    """Every record, through the index: page, payload length and digest, type, what it revisits, URL."""
-    captures = directory.repartition("first", "at").mapInArrow(_captures_of, "key string, file string, at long, size long")
-    ordered = captures.repartitionByRange("file", "at").sortWithinPartitions("file", "at")
-    return ordered.mapInArrow(_records_of, RECORD)
+    """Every record of the archives, block by block of the index, without a search."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for entry in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "size"))):
+                yield _captures(block_lines(read_bytes(*entry)))
 
-def lookup(spark: SparkSession, directory: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key`` and record of the captures of ``keys (key)``.
+    captures = directory.repartition("first", "at").mapInArrow(run, "key string, file string, at long, size long")
+    return captures.repartitionByRange("file", "at").sortWithinPartitions("file", "at").mapInArrow(_records_of, f"key string, {RECORD}").drop("key")
 
-    The directory is range-partitioned and sorted, so its files are in key order with key
-    bounds in their footers. A task sorts the keys it holds and, for each, binary-searches the
-    directory's files and then their rows, reads the blocks found by range and binary-searches
-    them; no task holds more of the directory than one file.
-    """
-    files = sorted((r.first, r.last, r.path) for r in directory.groupBy(F.input_file_name().alias("path")).agg(
-        F.min("first").alias("first"), F.max("last").alias("last")).collect())  # a row per directory file
+
+def page_keys(pages: DataFrame) -> DataFrame:
+    """The distinct index keys of ``pages (url)``; a null url has the key of an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[str, pa.Table] | None = None
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column("url").to_pylist()], pa.string())], names=["key"])
+
+    return pages.select(F.col("url").cast("string").alias("url")).mapInArrow(run, "key string").distinct()
+
+
+def _sent_to(files: list[tuple[str, str, str]]):
+    """Keys and the blocks that can hold them; ``files`` are the bounds and path of every directory file, in key order."""
+    lasts = [last for _, last, _ in files]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
         for batch in batches:
             rows = []
-            for key in sorted(set(batch.column("key").drop_null().to_pylist())):
-                at = bisect.bisect_left([last for _, last, _ in files], key)
+            for key in batch.column("key").to_pylist():
+                at = bisect.bisect_left(lasts, key)
                 while at < len(files) and files[at][0] <= key:
-                    if held is None or held[0] != files[at][2]:
+                    if held is None or held[0] != at:
                         fs, path = filesystem(files[at][2])
-                        held = files[at][2], pq.read_table(path, filesystem=fs).sort_by([("first", "ascending"), ("at", "ascending")])
-                    firsts, lasts = held[1].column("first").to_pylist(), held[1].column("last").to_pylist()
-                    block = bisect.bisect_left(lasts, key)
-                    while block < len(firsts) and firsts[block] <= key:
-                        entry = held[1].slice(block, 1).to_pylist()[0]
-                        lines = block_lines(read_bytes(entry["file"], entry["at"], entry["size"]))
-                        names = [x[0] for x in lines]
-                        for _, file, begin, size in lines[bisect.bisect_left(names, key) : bisect.bisect_right(names, key)]:
-                            rows.append((key, *_read_record(read_bytes(file, begin, size))))
+                        entries = pq.read_table(path, filesystem=fs).sort_by([("first", "ascending"), ("at", "ascending")]).to_pydict()
+                        held = at, entries["first"], entries["last"], list(zip(entries["file"], entries["at"], entries["size"]))
+                    block = bisect.bisect_left(held[2], key)
+                    while block < len(held[1]) and held[1][block] <= key:
+                        rows.append((key, *held[3][block]))
                         block += 1
                     at += 1
             if rows:
-                found = _rows([r[1:] for r in rows])
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), *found.columns], names=["key", *found.schema.names])
+                yield _captures(rows)
+
+    return run
+
 
-    return keys.select(F.col("key").cast("string").alias("key")).distinct().mapInArrow(run, f"key string, {RECORD}")
+def _captures(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], names=["key", "file", "at", "size"])
+
+
+def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The captures of the keys sent to each block; rows come sorted by block, which is read once."""
+    block, lines, names = None, [], []
+    for batch in batches:
+        rows = []
+        for key, *entry in zip(*(batch.column(c).to_pylist() for c in ("key", "file", "at", "size"))):
+            if entry != block:
+                block, lines = entry, block_lines(read_bytes(*entry))
+                names = [x[0] for x in lines]
+            rows += lines[bisect.bisect_left(names, key) : bisect.bisect_right(names, key)]
+        if rows:
+            yield _captures(rows)
+
+
+def lookup(spark: SparkSession, directory: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key`` and record of all captures of ``keys (key)``; repeated keys count once, a null key finds nothing.
+
+    The directory is range-partitioned and sorted, so its files are in key order. Keys are
+    dealt by ranges too: a task goes through its keys in order with one directory file at a
+    time. The driver sees the bounds of the directory's files, a row each.
+    """
+    files = sorted((r.first, r.last, r.path) for r in directory.groupBy(F.input_file_name().alias("path")).agg(
+        F.min("first").alias("first"), F.max("last").alias("last")).collect())
+    wanted = keys.select(F.col("key").cast("string").alias("key")).filter("key IS NOT NULL").distinct()
+    capture = "key string, file string, at long, size long"
+    sent = wanted.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_sent_to(files), capture)
+    found = stored(sent.repartition("file", "at").sortWithinPartitions("file", "at", "key").mapInArrow(_searched, capture), "found")
+    ordered = found.repartitionByRange("file", "at").sortWithinPartitions("file", "at")
+    return ordered.mapInArrow(_records_of, f"key string, {RECORD}")
 
 
 def op1_warc_archive(spark, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
-    directory = build_index(write_archives(table(spark, sf_dir, "pages"), folder), f"{folder}-index")
-    return read_archives(directory).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, sf_dir, "pages")
+    directory = build_index(write_archives(pages, folder), f"{folder}-index")
+    return lookup(spark, directory, page_keys(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -60,3 +60,37 @@ def test_query(spark, small_dir):
     got = warc.op1_warc_archive(ready(spark), small_dir).collect()
     data = [tuple(r) for r in spark.read.parquet(f"{small_dir}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted(map(tuple, got), key=str) == brute(data)
+
+
+def test_all_keys_find_all_records(spark):
+    """The query's path: a key of most captures, many blocks, a folder without a scheme, a very long payload."""
+    ready(spark)
+    data = rows() + [(1000 + i, "http://hot.example.org/", f"payload {i % 5} " * 20) for i in range(3 * warc.BLOCK_LINES)]
+    data += [(9999, "http://long.example.org/", "very long " * 300_000)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-test").removeprefix("file:")
+    directory = warc.build_index(warc.write_archives(pages, folder), f"{folder}-index")
+    assert directory.count() > 3
+    got = warc.lookup(spark, directory, warc.page_keys(pages)).drop("key", "url").collect()
+    assert sorted(map(tuple, got), key=str) == brute(data)
+    assert warc.lookup(spark, directory, warc.page_keys(pages.limit(0))).count() == 0
+
+
+def test_only_the_blocks_of_a_key_are_read(spark, monkeypatch):
+    rows = [(f"k{i:03d}", "f", i, 1) for i in range(40)]
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    entries = {"first": ["k000", "k010", "k020", "k030"], "last": ["k009", "k019", "k029", "k039"], "file": ["b"] * 4, "at": [0, 1, 2, 3], "size": [1] * 4}
+    path = scratch_path(spark, "dir").removeprefix("file:")
+    fs, at = filesystem(path)
+    fs.create_dir(at, recursive=True)
+    pq.write_table(pa.table(entries), f"{at}/d.parquet")
+    sent = warc._sent_to([("k000", "k039", f"{path}/d.parquet")])
+    keys = pa.RecordBatch.from_arrays([pa.array(["a", "k005", "k025", "k0255", "z"])], names=["key"])
+    out = [b.to_pydict() for b in sent([keys])]
+    assert [(k, a) for o in out for k, a in zip(o["key"], o["at"])] == [("k005", 0), ("k025", 2), ("k0255", 2)]
+    reads = []
+    monkeypatch.setattr(warc, "read_bytes", lambda file, at, size: reads.append(at) or warc._member("\n".join("\t".join(map(str, r)) for r in rows[at * 10 : at * 10 + 10]).encode()))
+    found = [b.to_pydict()["key"] for b in warc._searched([pa.RecordBatch.from_pydict(o) for o in out])]
+    assert found == [["k005", "k025"]] and reads == [0, 2]
