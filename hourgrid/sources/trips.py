@@ -219,7 +219,8 @@ def scan_geojson(spark: SparkSession, path: str, lines: bool = False, whole: boo
     first = F.ltrim(F.regexp_replace("value", "^[\\s\ufeff]+", "")).startswith("{")  # a file's own head
     parsed = F.from_json(F.concat(F.lit('{"type":"Feature"'), body), _FEATURE)
     broken = F.raise_error(F.concat(F.lit("not a feature that begins with its type: "), F.left("value", F.lit(200))))
-    feature = F.when(parsed["properties"].isNotNull() | parsed["geometry"].isNotNull(), parsed).otherwise(broken)
+    # a head is no error wherever the optimizer puts its filter
+    feature = F.when(first | parsed["properties"].isNotNull() | parsed["geometry"].isNotNull(), parsed).otherwise(broken)
     return pieces.where(~first).select(feature.alias("f")).select(*_feature_columns())
 
 
