@@ -33,8 +33,9 @@ SHINGLE = 5
 SKETCH = 80
 #: Of the SKETCH smallest values of a union at 0.75 fewer than COMMON are in both sets with a chance of 3e-9.
 COMMON = 36
-#: Members of a list, and shingles of a group, in one block of a grid; a tile is two blocks.
-BLOCK_MEMBERS = 256
+#: Members of a list, and shingles of a group, in one block of a grid; a tile is two blocks, a few
+#: megabytes of sketches or sets. A row goes to as many tiles as its list has blocks.
+BLOCK_MEMBERS = 4096
 BLOCK_SHINGLES = 200_000
 
 
@@ -244,7 +245,9 @@ def _sketch_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows = _matrix(values, offs)
 
         def passes(a, others, common):
-            near = _fits(n[a], n[others])
+            size = np.diff(offs)
+            # what is in both sketches bounds what the estimate can count
+            near = _fits(n[a], n[others]) & (SKETCH * common >= COMMON * np.minimum(SKETCH, size[a] + size[others] - common))
             near[near] = union_estimates(np.repeat(rows[a : a + 1], near.sum(), axis=0), rows[others[near]]) >= COMMON / SKETCH
             return near
 
