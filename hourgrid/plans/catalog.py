@@ -134,9 +134,23 @@ class Tables:
         the source ``models`` is what was loaded, ``validation`` the validation predictions.
         """
         folder = folder.rstrip("/")
-        forecast.model_stage(self.train, self.evaluation, folder)
+        framed = self.with_frame(folder)
+        forecast.model_stage(framed.train, framed.evaluation, folder)
         return self.with_models(folder)
 
+    def with_frame(self, folder: str) -> Tables:
+        """Write the forecast frame once below ``folder``; return tables that read it.
+
+        For models: their fits and scores read the frame several times, and each time would
+        join, clean and roll up the raw trips again. Its rows are bounded by zones and hours.
+        """
+        path = f"{folder.rstrip('/')}/frame"
+        sinks.write_table_parquet(self.frame, path)
+        out = Tables({**self.sources}, self.params)
+        out.__dict__.update({k: v for k, v in self.__dict__.items() if k in ("trips", "cube", "routes")})
+        out.__dict__["frame"] = self.zones.sparkSession.read.schema(self.frame.schema).parquet(path)
+        return out
+
     def with_models(self, folder: str) -> Tables:
         """The same tables with the models and predictions that ``trained`` left in ``folder``."""
         spark = self.zones.sparkSession

@@ -181,7 +181,8 @@ def stream_replay_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_pipeline(t: Tables) -> DataFrame:
     """The feature vector of every training row: one-hot digits, then a column a scaled number."""
-    ready = forecast.feature_pipeline(t.train).withColumn("v", vector_to_array("features"))
+    framed = t.with_frame(scratch_path(t.zones.sparkSession, "features"))
+    ready = forecast.feature_pipeline(framed.train).withColumn("v", vector_to_array("features"))
     digits = F.size("v") - len(forecast.NUMERIC)
     return ready.select(
         F.col(S.PU).alias("zone"), F.col("pickup_date").alias("date"), F.col("hour").alias("at_hour"),
@@ -241,15 +242,18 @@ def trained_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_linear(t: Tables) -> Tables:
-    """The tables with one trained model, least squares on the rolling mean."""
-    fit = forecast.train_validation_split(t.train).where("part = 'fit'")
+    """The tables with one trained model, least squares on the rolling mean; the frame is written once."""
+    framed = t.with_frame(scratch_path(t.zones.sparkSession, "linear"))
+    fit = forecast.train_validation_split(framed.train).where("part = 'fit'")
     models = {"linear": forecast.one_feature_model(fit, "rolling_24h_avg_trip_count")}
-    return Tables({**t.sources, "models": lambda: models}, t.params)
+    framed.sources["models"] = lambda: models
+    return framed
 
 
 def linear_evaluation(t: Tables) -> DataFrame:
     """The trained model against the lag columns, on the evaluation rows."""
-    both = forecast.baseline_predictions(t.evaluation).unionByName(_with_linear(t).scored)
+    linear = _with_linear(t)
+    both = forecast.baseline_predictions(linear.evaluation).unionByName(linear.scored)
     return forecast.model_metrics(both)
 
 

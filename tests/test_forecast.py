@@ -1,11 +1,11 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from hourgrid.operators import forecast as FC
 from hourgrid.operators import views
-from tests.rows import values
+from tests.rows import trip, trips, values, zones
 
 DDL = (
     "PULocationID int, pickup_zone string, pickup_borough string, pickup_service_zone string, pickup_date date, "
@@ -146,6 +146,25 @@ def test_model_stage_feeds_the_error_tables(spark, small_dir, tmp_path):
     assert {tuple(r) for r in first.collect()} == wanted
 
 
+def test_linear_queries_read_a_stored_frame(spark):
+    """Fit and scores read the frame from files; raw trips are not joined and cleaned again for each."""
+    from hourgrid.plans import queries as Q
+    from hourgrid.plans.catalog import Tables
+
+    picks = [datetime(year, 5, day, hour, 0) for year in (2021, 2024) for day in (3, 4, 5) for hour in range(0, 24, 3)]
+    made = trips(spark, *[
+        trip(pick=p, drop=p.replace(minute=30), pu=2 + i % 2, total=20.0 + n) for i, p in enumerate(picks) for n in range(1 + i % 3)
+    ])
+    t = Tables({"raw": lambda: made, "zones": lambda: zones(spark)})
+    linear = Q._with_linear(t)
+    for df in (linear.frame, linear.scored, linear.table("forecast_monthly")):
+        assert df.inputFiles() and all("/frame/" in f for f in df.inputFiles())
+    assert linear.frame.dtypes == t.frame.dtypes
+    assert sorted(map(repr, linear.frame.collect())) == sorted(map(repr, t.frame.collect()))
+    got = linear.table("forecast_monthly").collect()
+    assert [(r.year_month, r.trip_count) for r in got] == [("2024-05", sum(1 + i % 3 for i in range(24, 48)))]
+
+
 def test_views_over_forecasts(spark, errors):
     long = views.actual_predicted_long(FC.forecast_monthly(errors), "year_month")
     assert sorted(values(long, "year_month", "series", "value"))[0] == ("2024-01", "Actual", 10.0)
