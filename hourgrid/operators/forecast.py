@@ -153,8 +153,9 @@ def estimators(forest: dict | None = None, boosting: dict | None = None) -> dict
         "Linear Regression": LinearRegression(**io),
         "Random Forest": RandomForestRegressor(
             **io,
-            # memory for node statistics: fewer passes over the data per tree level
-            **{"featureSubsetStrategy": "all", "seed": SEED, "maxMemoryInMB": 1024, **FOREST, **(forest or {})},
+            # every running task holds node statistics up to maxMemoryInMB (Spark's 256): more would
+            # spare passes, but four tasks with 1024 each overrun a heap of 6 GB
+            **{"featureSubsetStrategy": "all", "seed": SEED, **FOREST, **(forest or {})},
         ),
         "Gradient Boosting": GBTRegressor(**io, **{"seed": SEED, **BOOSTING, **(boosting or {})}),
     }

@@ -146,6 +146,10 @@ def test_model_stage_feeds_the_error_tables(spark, small_dir, tmp_path):
     assert {tuple(r) for r in first.collect()} == wanted
 
 
+def test_forest_statistics_fit_beside_each_other(spark):
+    assert FC.estimators()["Random Forest"].getMaxMemoryInMB() <= 256  # a task; an executor runs several
+
+
 def test_linear_queries_read_a_stored_frame(spark):
     """Fit and scores read the frame from files; raw trips are not joined and cleaned again for each."""
     from hourgrid.plans import queries as Q
