@@ -130,8 +130,12 @@ def area_documents(areas: DataFrame) -> DataFrame:
 
 
 def customer_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One area per customer; the first ids coincide with zones of the lookup."""
-    return read(spark, sf_dir, "customer").select(
+    """One area per customer; the first ids coincide with zones of the lookup.
+
+    Dealt to all tasks while narrow: a file of a few megabytes has many customers and is one task.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read(spark, sf_dir, "customer").repartition(tasks).select(
         F.col("c_custkey").cast("int").alias("LocationID"),
         F.col("c_name").alias("zone"),
         F.col("c_mktsegment").alias("borough"),

@@ -61,3 +61,14 @@ def test_feature_without_coordinates_fails(spark, tmp_path):
     bad = SRC.scan_geojson(spark, str(tmp_path / "bad.geojson"))
     with pytest.raises(Exception, match="no polygon coordinates"):
         geo.zone_centroids(bad, zones(spark)).collect()
+
+
+def test_areas_of_one_small_file_are_dealt_to_all_tasks(spark, tmp_path):
+    """Documents and geometry cost much more than the bytes of their customers, which are one task of a scan."""
+    from hourgrid.sources import fixture as FX
+
+    rows = [(k, f"c{k}", "s") for k in range(200)] + [(None, "c", None), (7, "c7", "s")]
+    spark.createDataFrame(rows, "c_custkey bigint, c_name string, c_mktsegment string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    areas = FX.customer_areas(spark, str(tmp_path))
+    assert areas.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(repr, map(tuple, areas.collect()))) == sorted(map(repr, rows))
