@@ -153,9 +153,10 @@ def estimators(forest: dict | None = None, boosting: dict | None = None) -> dict
         "Linear Regression": LinearRegression(**io),
         "Random Forest": RandomForestRegressor(
             **io,
-            # every running task holds node statistics up to maxMemoryInMB (Spark's 256): more would
-            # spare passes, but four tasks with 1024 each overrun a heap of 6 GB
-            **{"featureSubsetStrategy": "all", "seed": SEED, **FOREST, **(forest or {})},
+            # every running task holds node statistics up to maxMemoryInMB, and again while it combines
+            # and serialises them; without cached node ids it also gets its own copy of the trees that
+            # grow. Both settings change the passes, not the trees
+            **{"featureSubsetStrategy": "all", "seed": SEED, "maxMemoryInMB": 64, "cacheNodeIds": True, **FOREST, **(forest or {})},
         ),
         "Gradient Boosting": GBTRegressor(**io, **{"seed": SEED, **BOOSTING, **(boosting or {})}),
     }

@@ -178,3 +178,15 @@ def test_views_over_forecasts(spark, errors):
     assert values(series, "zone", "actual_value") == [("a", 10.0), ("a", 0.0)]
     other = spark.createDataFrame([(date(2024, 1, 1), 3, None, 7.0)], "pickup_date date, hour int, actual double, prediction double")
     assert values(views.busiest_zone_forecast(other), "zone", "predicted_value") == [("All zones", 7.0)]
+
+
+def test_forest_tasks_get_no_trees_and_grow_the_same_ones(spark):
+    forest = FC.estimators()["Random Forest"]
+    assert forest.getCacheNodeIds() and forest.getMaxMemoryInMB() <= 64
+    rows = spark.range(600, numPartitions=3).selectExpr("id % 7 AS a", "id * 37 % 101 AS b", "id * id % 53 AS trip_count")
+    ready = FC.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    grown = [
+        FC.estimators({"numTrees": 4, "maxDepth": 12, **change})["Random Forest"].fit(ready).toDebugString.split("\n", 1)[1]
+        for change in ({}, {"cacheNodeIds": False, "maxMemoryInMB": 256}, {"maxMemoryInMB": 1})
+    ]
+    assert grown[0].count("Predict") > 100 and grown[1:] == grown[:1] * 2
