@@ -26,7 +26,9 @@ from hourgrid.llm.frames import stored, table
 from hourgrid.llm.packing import gaps, narrow, small, ungapped, unsmall, widened
 
 BLOCK_TOKENS = 1 << 20
+CHUNK_BYTES = 1 << 20  # of texts that a block grows by at once, so that none is much larger
 BUCKET_TOKENS = 1 << 20
+SPAN_TOKENS = 1 << 17  # whose counts are spread over tokens at once
 FOLDS, HELD_OUT, DELETED = 10, 0, 1
 ADDED = 0.1  # to every count of the base model
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -56,7 +58,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list] = {}
     count: dict[int, int] = {}
     for batch in batches:
-        for chunk in W.text_chunks(batch, "text"):
+        for chunk in W.text_chunks(batch, "text", CHUNK_BYTES):
             data, offs = W.flat(chunk.column("text"))
             data = W.LOWER[data]
             start, end, wo = W.split_words(data, offs)
@@ -85,24 +87,34 @@ class Tokens:
     def __init__(self, sizes: bytes, dictionary: bytes, numbers: bytes):
         self.sizes = widened(sizes)
         words = np.concatenate([np.frombuffer(dictionary, np.uint64), [END, START]])
-        numbers = np.frombuffer(numbers, "<u4").astype(np.int64)
+        numbers = np.frombuffer(numbers, "<u4")
         ends = np.cumsum(self.sizes + 1) - 1
         n = len(numbers) + len(ends)
         self.first = ends - self.sizes
-        word = np.full(n, len(words) - 2)
+        word = np.full(n, len(words) - 2, np.int32)
         inner = np.ones(n, bool)
         inner[ends] = False
         word[inner] = numbers
-        context = np.empty(n, np.int64)
+        context = np.empty(n, np.int32)
         context[1:] = word[:-1]
         context[self.first] = len(words) - 1
         self.word, self.context = word, context
+        keys = W.pair(words[context], words[word])
         # words sorted by hash, the two marks among them
         order = np.argsort(words)
         self.words = words[order]
         self.place = np.empty(len(words), np.int64)
         self.place[order] = np.arange(len(words))
-        self.pairs, self.pair = np.unique(W.pair(words[context], words[word]), return_inverse=True)
+        self.pairs, pair = np.unique(keys, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+
+    def spans(self) -> Iterator[tuple[slice, slice]]:
+        """Texts, a few at a time, and their tokens; a text is never cut."""
+        starts = np.searchsorted(self.first, np.arange(0, len(self.word), SPAN_TOKENS))
+        cut = np.unique(np.append(starts[starts < len(self.first)], len(self.first)))
+        edge = np.append(self.first, len(self.word))[cut]
+        for k in range(len(cut) - 1):
+            yield slice(cut[k], cut[k + 1]), slice(edge[k], edge[k + 1])
 
     def grams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Keys and counts of words (as tokens; the start by its texts) and of bigrams."""
@@ -119,18 +131,37 @@ def _slices(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(bucket), np.searchsorted(bucket, np.append(np.unique(bucket), buckets))
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Blocks one by one: a batch holds several of some megabytes, and only one at a time is spread out.
+
+    Bytes and answers stay in the batch: ``answers`` is an array of (gram, bucket, total, deleted).
+    """
+    for batch in batches:
+        for i in range(len(batch)):
+            row = {}
+            for name, col in zip(batch.schema.names, batch.columns):
+                one = col.slice(i, 1)
+                if pa.types.is_binary(col.type):
+                    row[name] = memoryview(one[0].as_buffer())
+                elif pa.types.is_list(col.type):
+                    row[name] = one.flatten()
+                else:
+                    row[name] = one[0].as_py()
+            yield row
+
+
 def _asked(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, fold, sizes, dictionary, numbers in zip(*(batch.column(c).to_pylist() for c in ("block", "fold", "sizes", "dictionary", "numbers"))):
-                for gram, keys, counts in Tokens(sizes, dictionary, numbers).grams():
-                    some, cut = _slices(keys, buckets)
-                    cut = cut.tolist()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()), pa.array([fold] * len(some), pa.int32()),
-                         pa.array([gram] * len(some), pa.int32()), pa.array([gaps(keys[i:j]) for i, j in zip(cut, cut[1:])], pa.binary()),
-                         pa.array([small(counts[i:j]) for i, j in zip(cut, cut[1:])], pa.binary())],
-                        names=[x.split()[0] for x in ASKED.split(", ")])
+        for row in _rows(batches):
+            block, fold = row["block"], row["fold"]
+            for gram, keys, counts in Tokens(row["sizes"], row["dictionary"], row["numbers"]).grams():
+                some, cut = _slices(keys, buckets)
+                cut = cut.tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()), pa.array([fold] * len(some), pa.int32()),
+                     pa.array([gram] * len(some), pa.int32()), pa.array([gaps(keys[i:j]) for i, j in zip(cut, cut[1:])], pa.binary()),
+                     pa.array([small(counts[i:j]) for i, j in zip(cut, cut[1:])], pa.binary())],
+                    names=[x.split()[0] for x in ASKED.split(", ")])
 
     return run
 
@@ -168,16 +199,18 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close(at, held)
 
 
-def _known(row: dict, deleted: bool) -> tuple[Tokens, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of a block, and the counts of each token's bigram, context and word; less the deleted part if asked."""
+def _known(row: dict, deleted: bool) -> tuple[Tokens, np.ndarray, np.ndarray]:
+    """Tokens of a block, and the counts of its bigrams and of its words; less the deleted part if asked."""
     tokens = Tokens(row["sizes"], row["dictionary"], row["numbers"])
+    gram, bucket, total, less = row["answers"].flatten()
+    gram, bucket = (x.to_numpy(zero_copy_only=False) for x in (gram, bucket))
 
-    def of(gram: int) -> np.ndarray:
-        answers = sorted((a["bucket"], a["total"], a["deleted"]) for a in row["answers"] if a["gram"] == gram)
-        return np.concatenate([unsmall(t) - (unsmall(d) if deleted else 0) for _, t, d in answers])
+    def of(n: int) -> np.ndarray:
+        at = np.flatnonzero(gram == n)
+        at = at[np.argsort(bucket[at])].tolist()
+        return np.concatenate([unsmall(total[k].as_buffer()) - (unsmall(less[k].as_buffer()) if deleted else 0) for k in at])
 
-    words = of(1)[tokens.place]
-    return tokens, of(2)[tokens.pair], words[tokens.context], words[tokens.word]
+    return tokens, of(2), of(1)[tokens.place]
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -195,10 +228,11 @@ def _learned_from(tokens_left: int):
         return np.where(p > 0, np.round(CELLS * np.log2(np.maximum(p, 1e-300))), 1).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, pair, context, word = _known(row, True)
-                cells = np.stack([_bucket(context), cell(_ratio(pair, context)), cell(word / max(1, tokens_left))], 1)
+        for row in _rows(batches):
+            tokens, pairs, words = _known(row, True)
+            for _, at in tokens.spans():
+                context = words[tokens.context[at]]
+                cells = np.stack([_bucket(context), cell(_ratio(pairs[tokens.pair[at]], context)), cell(words[tokens.word[at]] / max(1, tokens_left))], 1)
                 found, n = np.unique(cells, axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays([*(pa.array(found[:, k], pa.int32()) for k in range(3)), pa.array(n, pa.int64())],
                                                  names=["bucket", "pair", "word", "n"])
@@ -225,19 +259,21 @@ def maximise(cells: pd.DataFrame, uniform: float) -> list[float]:
 
 def _scored(tokens_all: int, distinct: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                tokens, pair, context, word = _known(row, False)
+        for row in _rows(batches):
+            tokens, pairs, words = _known(row, False)
+            ids = np.frombuffer(row["ids"], "<i8")
+            known = np.unpackbits(np.frombuffer(row["known_ids"], np.uint8), count=len(tokens.sizes)).astype(bool)
+            for texts, at in tokens.spans():
+                context, word = words[tokens.context[at]], words[tokens.word[at]]
                 w = weights[_bucket(context)]
-                p = w[:, 0] * _ratio(pair, context) + w[:, 1] * (word / max(1, tokens_all)) + w[:, 2] / (distinct + 1)
+                p = w[:, 0] * _ratio(pairs[tokens.pair[at]], context) + w[:, 1] * (word / max(1, tokens_all)) + w[:, 2] / (distinct + 1)
                 # without a known context the bigram's weight goes to the others
                 p = np.where(context > 0, p, p / np.maximum(1 - w[:, 0], 1e-12))
                 base = np.log10((word + ADDED) / (tokens_all + ADDED * (distinct + 1)))
-                known = np.unpackbits(np.frombuffer(row["known_ids"], np.uint8), count=len(tokens.sizes)).astype(bool)
-                sums = [np.add.reduceat(x, tokens.first) for x in ((word > 0).astype(np.int64), base, np.log10(p))]
+                sums = [np.add.reduceat(x, tokens.first[texts] - at.start) for x in ((word > 0).astype(np.int64), base, np.log10(p))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(row["ids"], "<i8"), pa.int64(), mask=~known), pa.array(np.full(len(known), row["fold"] == HELD_OUT)),
-                     pa.array(tokens.sizes + 1), *map(pa.array, sums)], names=[x.split()[0] for x in SCORES.split(", ")])
+                    [pa.array(ids[texts], pa.int64(), mask=~known[texts]), pa.array(np.full(len(sums[0]), row["fold"] == HELD_OUT)),
+                     pa.array(tokens.sizes[texts] + 1), *map(pa.array, sums)], names=[x.split()[0] for x in SCORES.split(", ")])
 
     return run
 

@@ -51,3 +51,37 @@ def test_em_finds_the_mixture():
     p = lambda w: 70 * np.log(w[0] * 0.5 + w[1] * 2**-5 + w[2] * 1e-6) + 30 * np.log(w[0] * 0.125 + w[1] * 0.5 + w[2] * 1e-6)
     best = max((p((x, 1 - x, 0)) for x in np.linspace(0, 1, 2001)))
     assert p((a, g, u)) == pytest.approx(best, abs=1e-4)
+
+
+def test_a_batch_of_blocks_is_scored_in_little_memory():
+    """Blocks one at a time, and their counts spread over a few texts' tokens at a time; the same sums as all at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from hourgrid.llm.packing import narrow, small
+
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 900, 1000)
+    dictionary = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
+    numbers = rng.integers(0, len(dictionary), int(sizes.sum())).astype("<u4")
+    tokens = interpolated.Tokens(narrow(sizes), dictionary.tobytes(), numbers.tobytes())
+    counts = [np.arange(len(k)) % 7 for k in (tokens.words, tokens.pairs)]
+    answers = [{"gram": g, "bucket": b, "total": small(x), "deleted": None} for g, c in zip((1, 2), counts) for b, x in reversed(list(enumerate(np.array_split(c, 3))))]
+    row = {"block": 1, "fold": 2, "ids": np.arange(1000).astype("<i8").tobytes(), "known_ids": np.packbits(np.ones(1000, bool)).tobytes(), "sizes": narrow(sizes),
+           "dictionary": dictionary.tobytes(), "numbers": numbers.tobytes(), "answers": answers}
+    kinds = {"block": pa.int64(), "fold": pa.int32(), "answers": pa.list_(pa.struct([("gram", pa.int32()), ("bucket", pa.int32()), ("total", pa.binary()), ("deleted", pa.binary())]))}
+    n, size = 3, len(tokens.word)
+    batch = pa.RecordBatch.from_arrays([pa.array([v] * n, kinds.get(k, pa.binary())) for k, v in row.items()], names=list(row))
+    weights = np.tile([0.5, 0.4, 0.1], (interpolated.BUCKETS, 1))
+    tracemalloc.start()
+    got = [(len(out), out.column("doc_id").to_numpy(), out.column("score").to_numpy()) for out in interpolated._scored(size, 5000, weights)(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130 * size  # bytes a token; 194 with the counts of whole blocks spread out at once
+    assert np.concatenate([i for _, i, _ in got]).tolist() == list(range(1000)) * n
+    # the same sums over the whole block
+    pair, context, word = counts[1][tokens.pair], counts[0][tokens.place][tokens.context], counts[0][tokens.place][tokens.word]
+    p = 0.5 * np.divide(pair, context, out=np.zeros(size), where=context > 0) + 0.4 * word / size + 0.1 / 5001
+    whole = np.add.reduceat(np.log10(np.where(context > 0, p, p / 0.5)), tokens.first)
+    assert np.allclose(np.concatenate([s for _, _, s in got]), np.tile(whole, n))
