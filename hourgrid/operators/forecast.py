@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourgrid import schema as S
 from hourgrid.functions import exprs as X
+from hourgrid.operators import forest as grown
 from hourgrid.operators.ordering import between_quantiles
 from hourgrid.session import settle
 
@@ -39,6 +43,8 @@ SEED = 42
 FOREST = {"numTrees": 60, "maxDepth": 18, "minInstancesPerNode": 3}
 BOOSTING = {"maxIter": 80, "stepSize": 0.08, "maxDepth": 4}
 TAIL = (0.01, 0.99)
+#: Rows times trees up to which a forest is grown by Spark, all trees on the driver.
+DRIVER_ROWS = 2_000_000
 # --------------------------------------------------------------------------------------------
 
 
@@ -162,6 +168,13 @@ def estimators(forest: dict | None = None, boosting: dict | None = None) -> dict
     }
 
 
+def fit_estimator(estimator, rows: DataFrame, count: int):
+    """``estimator`` fitted; a forest of more nodes than the driver should hold is grown in tasks."""
+    if grown.can_grow(estimator) and count * estimator.getNumTrees() > DRIVER_ROWS:
+        return grown.grow(estimator, rows, count)
+    return estimator.fit(rows)
+
+
 def train_models(train: DataFrame, models: dict | None = None) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit every model on the fit part; return the models and their validation predictions."""
     tagged = train_validation_split(train)
@@ -171,8 +184,9 @@ def train_models(train: DataFrame, models: dict | None = None) -> tuple[dict[str
     # settled, so that blocks lost with an executor are read again, not predicted from raw
     ready = settle(prepared.transform(fit).select("features", TARGET)).persist()
     try:
+        count = ready.count()
         fitted = {
-            name: PipelineModel([*prepared.stages, estimator.fit(ready)])
+            name: PipelineModel([*prepared.stages, fit_estimator(estimator, ready, count)])
             for name, estimator in (models or estimators()).items()
         }
     finally:
@@ -256,13 +270,19 @@ def model_folder(folder: str, name: str) -> str:
 
 def load_models(folder: str, names: list[str] | None = None) -> dict[str, PipelineModel]:
     """The models that ``save_models`` wrote, by name."""
-    return {name: PipelineModel.load(model_folder(folder, name)) for name in names or estimators()}
+    names = list(names or estimators())
+    return dict(zip(names, _beside(lambda name: PipelineModel.load(model_folder(folder, name)), names)))
 
 
 def save_models(models: dict[str, PipelineModel], folder: str) -> None:
     """Save each fitted model below ``folder``, named after the model."""
-    for name, model in models.items():
-        model.write().overwrite().save(model_folder(folder, name))
+    _beside(lambda name: models[name].write().overwrite().save(model_folder(folder, name)), list(models))
+
+
+def _beside(run, names: list[str]) -> list:
+    """``run`` of every name, beside each other: a model is many files of a few rows, a job each."""
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(run), names))
 
 
 def baseline_predictions(frame: DataFrame) -> DataFrame:

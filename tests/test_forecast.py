@@ -190,3 +190,58 @@ def test_forest_tasks_get_no_trees_and_grow_the_same_ones(spark):
         for change in ({}, {"cacheNodeIds": False, "maxMemoryInMB": 256}, {"maxMemoryInMB": 1})
     ]
     assert grown[0].count("Predict") > 100 and grown[1:] == grown[:1] * 2
+
+
+def test_trees_grown_in_tasks_are_those_of_spark(spark):
+    """Without a draw the trees predict the same numbers, before and after saving."""
+    from hourgrid.operators import forest as G
+
+    rows = spark.range(3000, numPartitions=3).selectExpr(
+        "cast(id % 7 as double) AS a", "id * 37 % 101 AS b", "cast(id * id % 53 as double) / 7 AS c", "id % 3 = 0 AS d",
+        "CASE WHEN id % 11 = 0 THEN 'x' WHEN id % 2 = 0 THEN 'y' ELSE 'z' END AS e", "id * id % 53 + id % 7 * 3 AS trip_count",
+    )
+    stages = [FC.StringIndexer(inputCol="e", outputCol="i"), FC.OneHotEncoder(inputCol="i", outputCol="o"),
+              FC.VectorAssembler(inputCols=["a", "b", "c", "d", "o"], outputCol="features")]
+    ready = FC.Pipeline(stages=stages).fit(rows).transform(rows).select("features", "trip_count").persist()
+    for change in {}, {"maxDepth": 5, "minInfoGain": 0.5, "minInstancesPerNode": 20}, {"maxBins": 8}:
+        forest = FC.estimators({"numTrees": 2, "bootstrap": False, **change})["Random Forest"]
+        grown = G.grow(forest, ready, 3000)
+        want = values(forest.fit(ready).transform(ready), "predicted_trip_count")
+        assert len(set(want)) > 20 and values(grown.transform(ready), "predicted_trip_count") == want
+
+
+def test_a_large_forest_is_grown_in_tasks(spark, cube, tmp_path, monkeypatch):
+    """All trees with their draws, saved, loaded and scored like any model, none of them on the driver."""
+    from hourgrid.operators import forest as G
+
+    monkeypatch.setattr(FC, "DRIVER_ROWS", 100)
+    frame = FC.forecast_frame(cube).where("PULocationID = 1").persist()
+    small = FC.estimators({"numTrees": 7, "maxDepth": 5}, {"maxIter": 3})
+    folder = str(tmp_path)
+    FC.model_stage(frame, frame, folder, small)
+    again = FC.load_models(folder)
+    assert [type(m.stages[-1]) is G.GrownForest for m in again.values()] == [False, True, False]
+    trees = spark.read.parquet(again["Random Forest"].stages[-1].trees)
+    assert sorted(values(trees, "tree")) == list(range(7)) and trees.select("value").distinct().count() > 3
+    assert all(r.changed_rows == 0 and r.row_count > 0 for r in FC.reload_report(frame, folder).collect())
+    forest = spark.read.parquet(f"{folder}/evaluation").where("model = 'Random Forest'")
+    assert forest.count() == frame.count()
+    plain = {r.model: r for r in FC.model_metrics(spark.read.parquet(f"{folder}/evaluation")).collect()}
+    assert plain["Random Forest"].R2 > 0.3
+    # only what fits the driver is left to Spark
+    assert not G.can_grow(small["Gradient Boosting"]) and not G.can_grow(FC.estimators({"featureSubsetStrategy": "sqrt"})["Random Forest"])
+
+
+def test_a_tree_of_many_nodes_is_grown_in_parts(monkeypatch):
+    import numpy as np
+
+    from hourgrid.operators import forest as G
+
+    random = np.random.default_rng(2)
+    x, y = random.integers(0, 32, (3, 4000)).astype(np.uint8), random.integers(0, 99, 4000).astype(float)
+    times = G.drawn(4000, 1, 42, 1.0, True)
+    assert 3800 < times.sum() < 4200 and (times != G.drawn(4000, 2, 42, 1.0, True)).any()
+    whole = G.grow_tree(x, [32] * 3, set(), y, times, 18, 3, 0.0)
+    monkeypatch.setattr(G, "NODES_AT_ONCE", 5)
+    parts = G.grow_tree(x, [32] * 3, set(), y, times, 18, 3, 0.0)
+    assert len(whole["left"]) > 500 and all((whole[k] == parts[k]).all() for k in G.KINDS)
