@@ -144,8 +144,12 @@ class Tables:
         For models: their fits and scores read the frame several times, and each time would
         join, clean and roll up the raw trips again. Its rows are bounded by zones and hours.
         """
+        sinks.write_table_parquet(self.frame, f"{folder.rstrip('/')}/frame")
+        return self.from_frame(folder)
+
+    def from_frame(self, folder: str) -> Tables:
+        """Tables that read the frame which ``with_frame`` wrote below ``folder``."""
         path = f"{folder.rstrip('/')}/frame"
-        sinks.write_table_parquet(self.frame, path)
         out = Tables({**self.sources}, self.params)
         out.__dict__.update({k: v for k, v in self.__dict__.items() if k in ("trips", "cube", "routes")})
         out.__dict__["frame"] = self.zones.sparkSession.read.schema(self.frame.schema).parquet(path)

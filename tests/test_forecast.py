@@ -245,3 +245,16 @@ def test_a_tree_of_many_nodes_is_grown_in_parts(monkeypatch):
     monkeypatch.setattr(G, "NODES_AT_ONCE", 5)
     parts = G.grow_tree(x, [32] * 3, set(), y, times, 18, 3, 0.0)
     assert len(whole["left"]) > 500 and all((whole[k] == parts[k]).all() for k in G.KINDS)
+
+
+def test_reload_compares_over_the_stored_frame(spark, small_dir, tmp_path, monkeypatch):
+    """The rows that were predicted after the fit, not rows rolled up anew, whose averages may differ in the last digits."""
+    from hourgrid.plans import queries as Q
+
+    folder = str(tmp_path / "models")
+    framed = Q.tables(spark, small_dir).with_frame(folder)
+    FC.model_stage(framed.train, framed.evaluation, folder, FC.estimators({"numTrees": 2, "maxDepth": 3}, {"maxIter": 2}))
+    monkeypatch.setattr(Q, "model_folder", lambda *_: folder)
+    report = Q.trained_reload(spark, small_dir)
+    assert report.inputFiles() and all(folder in f for f in report.inputFiles())
+    assert {r.model: r.changed_rows for r in report.collect()} == dict.fromkeys(FC.estimators(), 0)
