@@ -131,23 +131,32 @@ def _slices(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(bucket), np.searchsorted(bucket, np.append(np.unique(bucket), buckets))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Blocks one by one: a batch holds several of some megabytes, and only one at a time is spread out.
+def _row(batch: pa.RecordBatch, i: int) -> dict:
+    """The block in row ``i``; its bytes stay in the batch."""
+    row = {name: batch.column(name)[i] for name in (x.split()[0] for x in BLOCK.split(", ")) if name in batch.schema.names}
+    return {k: memoryview(v.as_buffer()) if pa.types.is_binary(v.type) else v.as_py() for k, v in row.items()}
 
-    Bytes and answers stay in the batch: ``answers`` is an array of (gram, bucket, total, deleted).
-    """
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Blocks one by one: a batch holds several of some megabytes, and only one at a time is spread out."""
     for batch in batches:
         for i in range(len(batch)):
-            row = {}
-            for name, col in zip(batch.schema.names, batch.columns):
-                one = col.slice(i, 1)
-                if pa.types.is_binary(col.type):
-                    row[name] = memoryview(one[0].as_buffer())
-                elif pa.types.is_list(col.type):
-                    row[name] = one.flatten()
-                else:
-                    row[name] = one[0].as_py()
-            yield row
+            yield _row(batch, i)
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Blocks one by one with their ``answers``, the (total, deleted) of each gram's buckets, which follow the block."""
+    row = None
+    for batch in batches:
+        for i, (gram, *counts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("gram", "total", "deleted")))):
+            if gram is None:
+                if row:
+                    yield row
+                row = _row(batch, i) | {"answers": {1: [], 2: []}}
+            else:
+                row["answers"][gram].append(counts)
+    if row:
+        yield row
 
 
 def _asked(buckets: int):
@@ -202,15 +211,8 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _known(row: dict, deleted: bool) -> tuple[Tokens, np.ndarray, np.ndarray]:
     """Tokens of a block, and the counts of its bigrams and of its words; less the deleted part if asked."""
     tokens = Tokens(row["sizes"], row["dictionary"], row["numbers"])
-    gram, bucket, total, less = row["answers"].flatten()
-    gram, bucket = (x.to_numpy(zero_copy_only=False) for x in (gram, bucket))
-
-    def of(n: int) -> np.ndarray:
-        at = np.flatnonzero(gram == n)
-        at = at[np.argsort(bucket[at])].tolist()
-        return np.concatenate([unsmall(total[k].as_buffer()) - (unsmall(less[k].as_buffer()) if deleted else 0) for k in at])
-
-    return tokens, of(2), of(1)[tokens.place]
+    pairs, words = (np.concatenate([unsmall(t) - (unsmall(d) if deleted else 0) for t, d in row["answers"][gram]]) for gram in (2, 1))
+    return tokens, pairs, words[tokens.place]
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -228,7 +230,7 @@ def _learned_from(tokens_left: int):
         return np.where(p > 0, np.round(CELLS * np.log2(np.maximum(p, 1e-300))), 1).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
+        for row in _answered(batches):
             tokens, pairs, words = _known(row, True)
             for _, at in tokens.spans():
                 context = words[tokens.context[at]]
@@ -259,7 +261,7 @@ def maximise(cells: pd.DataFrame, uniform: float) -> list[float]:
 
 def _scored(tokens_all: int, distinct: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
+        for row in _answered(batches):
             tokens, pairs, words = _known(row, False)
             ids = np.frombuffer(row["ids"], "<i8")
             known = np.unpackbits(np.frombuffer(row["known_ids"], np.uint8), count=len(tokens.sizes)).astype(bool)
@@ -301,8 +303,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     left = n - (totals[DELETED].tokens if totals else 0)
 
     def joined(b: DataFrame, a: DataFrame) -> DataFrame:
-        by_block = a.filter("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("gram", "bucket", "total", "deleted")).alias("answers"))
-        return b.join(by_block, "block")
+        # each block's answers behind it, in order: sorted rows, which spill, in place of lists and joined rows on the heap
+        both = b.unionByName(a.filter("block IS NOT NULL").select("block", "gram", "bucket", "total", "deleted"), allowMissingColumns=True)
+        return both.repartition("block").sortWithinPartitions("block", "gram", "bucket")
 
     cells = joined(blocks.filter(F.col("fold") == DELETED), answers.filter(F.col("fold") == DELETED)).mapInArrow(
         _learned_from(left), "bucket int, pair int, word int, n long")

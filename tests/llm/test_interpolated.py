@@ -67,12 +67,12 @@ def test_a_batch_of_blocks_is_scored_in_little_memory():
     numbers = rng.integers(0, len(dictionary), int(sizes.sum())).astype("<u4")
     tokens = interpolated.Tokens(narrow(sizes), dictionary.tobytes(), numbers.tobytes())
     counts = [np.arange(len(k)) % 7 for k in (tokens.words, tokens.pairs)]
-    answers = [{"gram": g, "bucket": b, "total": small(x), "deleted": None} for g, c in zip((1, 2), counts) for b, x in reversed(list(enumerate(np.array_split(c, 3))))]
+    answers = [{"block": 1, "gram": g, "total": small(x), "deleted": None} for g, c in zip((1, 2), counts) for x in np.array_split(c, 3)]
     row = {"block": 1, "fold": 2, "ids": np.arange(1000).astype("<i8").tobytes(), "known_ids": np.packbits(np.ones(1000, bool)).tobytes(), "sizes": narrow(sizes),
-           "dictionary": dictionary.tobytes(), "numbers": numbers.tobytes(), "answers": answers}
-    kinds = {"block": pa.int64(), "fold": pa.int32(), "answers": pa.list_(pa.struct([("gram", pa.int32()), ("bucket", pa.int32()), ("total", pa.binary()), ("deleted", pa.binary())]))}
+           "dictionary": dictionary.tobytes(), "numbers": numbers.tobytes()}
+    schema = pa.schema([(k, {"block": pa.int64(), "fold": pa.int32(), "gram": pa.int32()}.get(k, pa.binary())) for k in (*row, "gram", "total", "deleted")])
     n, size = 3, len(tokens.word)
-    batch = pa.RecordBatch.from_arrays([pa.array([v] * n, kinds.get(k, pa.binary())) for k, v in row.items()], names=list(row))
+    batch = pa.RecordBatch.from_pylist([row, *answers] * n, schema)
     weights = np.tile([0.5, 0.4, 0.1], (interpolated.BUCKETS, 1))
     tracemalloc.start()
     got = [(len(out), out.column("doc_id").to_numpy(), out.column("score").to_numpy()) for out in interpolated._scored(size, 5000, weights)(iter([batch]))]
